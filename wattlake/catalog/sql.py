@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from wattlake.constants import COUNTRY_ALIASES, COUNTRY_REGIONS, FUEL_ALIASES, PLACEHOLDERS, RENEWABLE_FUELS
-from wattlake.functions.text import BLANK_CHARS, BLANKS, EDGE_BLANKS, WORD_OR_GAP
+from wattlake.functions.text import BLANK_CHARS, BLANKS, WORD_OR_GAP
 from wattlake.sources.bindings import AGE_AS_OF, AS_OF, METRIC_OF_EVENT
 
 RUN = f"TIMESTAMP '{AS_OF}'"
@@ -15,7 +15,7 @@ def quoted(values) -> str:
 
 
 def strip(c: str) -> str:
-    return f"regexp_replace({c}, '{EDGE_BLANKS}', '', 'g')"
+    return f"trim({c}, '{BLANK_CHARS}')"
 
 
 def clean(c: str) -> str:
@@ -44,7 +44,7 @@ def canonical(c: str, aliases: dict[str, str]) -> str:
 
 
 def has_text(*columns: str) -> str:
-    return " AND ".join(f"regexp_matches({c}, '[^{BLANK_CHARS}]')" for c in columns)
+    return " AND ".join(f"{strip(c)} <> ''" for c in columns)
 
 
 def known(*columns: str) -> str:

@@ -168,7 +168,7 @@ def regional_density_fallback(spark, sf_dir):
     """The second branch: no region holds a total."""
     t = shared.tables(spark, sf_dir)
     unknown = t["fact_capacity_geo"].withColumn("total_capacity_mw", F.lit(None).cast("double"))
-    return sustain.regional_density(t | {"fact_capacity_geo": unknown})
+    return sustain.regional_density(t.but(fact_capacity_geo=unknown))
 
 
 COAL_MW = total("CASE WHEN primary_fuel = 'Coal' THEN capacity_mw ELSE 0 END")

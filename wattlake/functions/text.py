@@ -9,21 +9,22 @@ from pyspark.sql import functions as F
 
 from wattlake.constants import PLACEHOLDERS
 
-# The characters Python and most feeds treat as blank. `\p{Z}` alone lacks the controls.
-BLANK_CHARS = r"\t-\r\x1c-\x1f\x85\p{Z}"
-BLANKS = f"[{BLANK_CHARS}]+"
-EDGE_BLANKS = f"^[{BLANK_CHARS}]+|[{BLANK_CHARS}]+$"
-NON_BLANK = f"[^{BLANK_CHARS}]"
+# Every character that counts as blank: controls, line ends and the Unicode spaces.
+BLANK_CHARS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+BLANKS = r"[\t-\r\x1c-\x1f\x85\p{Z}]+"  # the same set as a pattern
 WORD_OR_GAP = r"(\p{L}+|[^\p{L}]+)"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, EDGE_BLANKS, "")
+    """Without blanks at the edges. A trim by characters, much cheaper than a pattern."""
+    return F.btrim(text, F.lit(BLANK_CHARS))
 
 
 def has_text(value: Column) -> Column:
     """Not null and not only blanks; null stays null so that a filter drops it."""
-    return F.regexp_like(value.cast("string"), F.lit(NON_BLANK))
+    return strip(value.cast("string")) != ""
 
 
 def lacks_text(value: Column) -> Column:

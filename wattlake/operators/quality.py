@@ -64,12 +64,23 @@ def is_good(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS, ranges: R
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
+def good_rows(
+    df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS, ranges: Ranges = RANGE_RULES
+) -> DataFrame:
+    return df.filter(is_good(df, required, ranges))
+
+
+def malformed_rows(
+    df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS, ranges: Ranges = RANGE_RULES
+) -> DataFrame:
+    """Rows that break a rule, with the names of the rules they break."""
+    return df.filter(~is_good(df, required, ranges)).withColumn("dq_reasons", broken_rules(df, required, ranges))
+
+
 def split(
     df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS, ranges: Ranges = RANGE_RULES
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, malformed rows with the rules they break)."""
-    good = is_good(df, required, ranges)
-    return df.filter(good), df.filter(~good).withColumn("dq_reasons", broken_rules(df, required, ranges))
+    return good_rows(df, required, ranges), malformed_rows(df, required, ranges)
 
 
 # --- counts ------------------------------------------------------------------
