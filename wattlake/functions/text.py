@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +17,16 @@ BLANKS = r"[\t-\r\x1c-\x1f\x85\p{Z}]+"  # the same set as a pattern
 WORD_OR_GAP = r"(\p{L}+|[^\p{L}]+)"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once.
+
+    Filters on a computed column are pushed below its projection with the whole
+    expression copied in. An expression that names its input several times then
+    grows with every such layer; bound to a variable it is named once.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without blanks at the edges. A trim by characters, much cheaper than a pattern."""
     return F.btrim(text, F.lit(BLANK_CHARS))
@@ -38,7 +48,7 @@ def clean_text(text: Column) -> Column:
 
 
 def empty_to_null(text: Column) -> Column:
-    return F.nullif(strip(text), F.lit(""))
+    return let(strip(text), lambda t: F.when(t != "", t))
 
 
 def is_placeholder(text: Column, tokens: Iterable[str] = PLACEHOLDERS) -> Column:
@@ -47,8 +57,7 @@ def is_placeholder(text: Column, tokens: Iterable[str] = PLACEHOLDERS) -> Column
 
 def placeholder_to_null(text: Column) -> Column:
     """Trimmed text, or null where the trimmed text only says that nothing is known."""
-    trimmed = strip(text)
-    return F.when(~F.lower(trimmed).isin(*PLACEHOLDERS), trimmed)
+    return let(strip(text), lambda t: F.when(~F.lower(t).isin(*PLACEHOLDERS), t))
 
 
 def title_case(text: Column) -> Column:
@@ -68,8 +77,13 @@ def lookup(mapping: Mapping[str, str], key: Column) -> Column:
 
 def canonical(text: Column, aliases: Mapping[str, str]) -> Column:
     """Alias of the cleaned text, else the title-cased text; placeholders give null."""
-    cleaned = clean_text(text)
-    return F.when(
-        ~cleaned.isin(*PLACEHOLDERS),
-        F.coalesce(lookup(aliases, cleaned), title_case(strip(text))),
-    )
+
+    def named(trimmed: Column) -> Column:
+        return let(
+            F.regexp_replace(F.lower(trimmed), BLANKS, " "),
+            lambda cleaned: F.when(
+                ~cleaned.isin(*PLACEHOLDERS), F.coalesce(lookup(aliases, cleaned), title_case(trimmed))
+            ),
+        )
+
+    return let(strip(text), named)
