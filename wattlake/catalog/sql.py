@@ -25,7 +25,7 @@ def clean(c: str) -> str:
 def title(c: str) -> str:
     return (
         f"array_to_string(list_transform(regexp_extract_all(lower({c}), '{WORD_OR_GAP}'), "
-        "lambda w: concat(upper(w[1]), w[2:])), '')"
+        "lambda w: concat(replace(upper(w[1]), 'ẞ', 'Ss'), w[2:])), '')"
     )
 
 

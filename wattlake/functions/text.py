@@ -61,10 +61,13 @@ def placeholder_to_null(text: Column) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    """Capitalise each run of letters (``guinea-bissau`` gives ``Guinea-Bissau``)."""
+    """Capitalise each run of letters (``guinea-bissau`` gives ``Guinea-Bissau``).
+
+    A letter that has two capitals keeps the second one small (``ß`` gives ``Ss``).
+    """
     pieces = F.regexp_extract_all(F.lower(text), F.lit(WORD_OR_GAP), F.lit(1))
     return F.array_join(
-        F.transform(pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 2**31 - 1))),
+        F.transform(pieces, lambda p: F.concat(F.initcap(F.upper(F.substring(p, 1, 1))), F.substring(p, 2, 2**31 - 1))),
         "",
     )
 

@@ -12,7 +12,11 @@ _HAS_ZONE = r"(?i)(Z|[+-]\d{2}:?\d{2})$"
 def parse_iso(text: Column) -> Column:
     """UTC time of an ISO-8601 text; text without a zone is UTC; bad text gives null."""
     text = text.cast("string")
-    zoned = F.when(F.regexp_like(text, F.lit(_HAS_ZONE)), text).otherwise(F.concat(text, F.lit("Z")))
+    zoned = (
+        F.when(F.regexp_like(text, F.lit(_HAS_ZONE)), text)
+        .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
+        .otherwise(F.concat(text, F.lit("Z")))
+    )
     instant = zoned.try_cast("timestamp")
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
