@@ -42,11 +42,11 @@ def _report_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def _of_run(report: DataFrame | None, as_of: str) -> DataFrame | None:
-    if report is None or "run_timestamp" not in report.columns:
+def _newest_run(report: DataFrame | None, run: str) -> DataFrame | None:
+    """Reports are appended; what counts is the last one."""
+    if report is None or run not in report.columns:
         return report
-    newest = report.select(F.max("run_timestamp")).scalar()
-    return report.filter(F.col("run_timestamp") == newest)
+    return report.filter(F.col(run) == report.select(F.max(run)).scalar())
 
 
 def run_silver(spark: SparkSession, registry: DataFrame, root: str, as_of: str, run_id: str) -> DataFrame:
@@ -94,10 +94,8 @@ def run_silver(spark: SparkSession, registry: DataFrame, root: str, as_of: str,
     write_report(
         quality.transformation_report(counts, run_time, F.col("_silver")), f"{audit}/transformation_process_report", mode="append"
     )
-    freshness = _of_run(_report_or_none(spark, f"{audit}/freshness_report"), as_of)
-    runs = _report_or_none(spark, f"{audit}/bronze_run_report")
-    if runs is not None and "run" in runs.columns:
-        runs = runs.filter(F.col("run") == runs.select(F.max("run")).scalar())
+    freshness = _newest_run(_report_or_none(spark, f"{audit}/freshness_report"), "run_timestamp")
+    runs = _newest_run(_report_or_none(spark, f"{audit}/bronze_run_report"), "run")
     compliance = quality.compliance_report(report, freshness, runs, runs, quarantine)
     write_report(compliance, f"{audit}/dq_mandatory_compliance_report", mode="append")
     append_metrics(silver_metrics(spark, report, counts, run_time), f"{audit}/metrics")
