@@ -25,18 +25,19 @@ def read_dataset(
     file_format: str | None = None,
     schema: T.StructType | str | None = None,
     json_lines: bool = False,
+    quoted_lines: bool = False,
 ) -> DataFrame:
     """Scan one data set.
 
     CSV columns come as text unless a schema is given: guessing types would be a
     second pass over the data, and conforming coerces them anyway. A JSON
     document spanning lines is one task per file; large feeds should be JSON
-    lines, which split.
+    lines, which split. The same goes for CSV whose quoted values hold line ends.
     """
     file_format = (file_format or detect_format(path)).lower()
     reader = spark.read if schema is None else spark.read.schema(schema)
     if file_format == "csv":
-        return reader.option("header", True).option("escape", '"').csv(path)
+        return reader.options(header=True, escape='"', multiLine=quoted_lines).csv(path)
     if file_format == "json":
         return reader.option("multiLine", not json_lines).json(path)
     if file_format == "parquet":

@@ -47,18 +47,22 @@ class VersionedTable:
             return None
         return log.agg(F.max("version")).first()[0]
 
+    def version(self, version: int) -> DataFrame | None:
+        """A given version; None for version 0, which is before the first."""
+        return self.spark.read.parquet(f"{self.path}/v{version}") if version else None
+
     def read(self) -> DataFrame | None:
-        version = self.current_version()
-        if version is None:
-            return None
-        return self.spark.read.parquet(f"{self.path}/v{version}")
+        return self.version(self.current_version() or 0)
 
-    def replace(self, rows: DataFrame) -> DataFrame:
-        version = (self.current_version() or 0) + 1
+    def write_version(self, rows: DataFrame, version: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/v{version}")
         log = self.spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(True).alias("rows_written"))
         log.write.mode("append").json(f"{self.path}/log")
-        return self.read()
+
+    def replace(self, rows: DataFrame) -> DataFrame:
+        version = (self.current_version() or 0) + 1
+        self.write_version(rows, version)
+        return self.version(version)
 
 
 def append_quarantine(rows: DataFrame, path: str, run_id: str) -> None:
