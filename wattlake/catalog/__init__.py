@@ -5,7 +5,7 @@ from __future__ import annotations
 from wattlake.catalog.registry import ORACLES, QUERIES
 
 _MODULES = ("source_queries", "ingest_queries", "conform_queries", "quality_queries", "gold_queries", "view_queries",
-            "alert_queries", "stream_queries")
+            "unfiltered_queries", "alert_queries", "stream_queries")
 
 
 def load() -> None:
