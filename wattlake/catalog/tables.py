@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions.times import at
 from wattlake.operators import ingest, quality
-from wattlake.plans.medallion import clean_feed, conformed_batch, layers
+from wattlake.plans.medallion import Layers, conformed_batch, layers
 from wattlake.sources import bindings
 
 RUN_YEAR = 2001
@@ -17,8 +19,9 @@ def as_of():
     return at(bindings.AS_OF)
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every layer of a run over the raw plants."""
+@lru_cache(maxsize=4)
+def tables(spark: SparkSession, sf_dir: str) -> Layers:
+    """Every layer of a run over the raw plants. Kept are the plans, never rows."""
     return layers(bindings.plants_raw(spark, sf_dir), as_of(), RUN_YEAR)
 
 
@@ -65,6 +68,3 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     checked = ingest.volume_change(shaped, F.col("_current"), F.col("_previous"), spike=1.05, drop=0.95)
     return checked.drop("_current", "_previous")
-
-
-__all__ = ["as_of", "batch", "clean_feed", "freshness", "monthly_quality", "outcomes", "quality_text", "tables"]

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT")
 _HAS_ZONE = r"(?i)(Z|[+-]\d{2}:?\d{2})$"
 
 
+def _session_is_utc() -> bool:
+    session = SparkSession.getActiveSession()
+    return session is not None and session.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
+
+
 def parse_iso(text: Column) -> Column:
     """UTC time of an ISO-8601 text; text without a zone is UTC; bad text gives null."""
     text = text.cast("string")
+    if _session_is_utc():
+        return text.try_cast("timestamp").cast("timestamp_ntz")  # the cast itself reads unzoned text as UTC
     zoned = (
         F.when(F.regexp_like(text, F.lit(_HAS_ZONE)), text)
         .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
@@ -39,11 +47,17 @@ def at(time: str) -> Column:
     return F.lit(time).cast("timestamp_ntz")
 
 
-def hours_between(start: Column, end: Column) -> Column:
-    """Hours as a fraction."""
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    return micros / F.lit(3.6e9)
+def instant(time: Column) -> Column:
+    """The point in time a UTC wall time names, whatever the zone of the session."""
+    if not _session_is_utc():
+        time = F.convert_timezone(F.lit("UTC"), F.current_timezone(), time)
+    return time.cast("timestamp")
 
 
 def whole_units_between(unit: str, start: Column, end: Column) -> Column:
-    return F.timestamp_diff(unit, start, end)
+    return F.timestamp_diff(unit, instant(start), instant(end))
+
+
+def hours_between(start: Column, end: Column) -> Column:
+    """Hours as a fraction."""
+    return whole_units_between("MICROSECOND", start, end) / F.lit(3.6e9)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wattlake.constants import STAGE_METRICS
 from wattlake.functions.numbers import to_double, to_int
 from wattlake.functions.text import lacks_text
-from wattlake.functions.times import parse_iso, whole_units_between
+from wattlake.functions.times import instant, parse_iso, whole_units_between
 from wattlake.plans.views.common import Tables, theoretical_gwh, utilisation
 
 NULL_COUNTS = ("null_plant_name", "null_country", "null_primary_fuel", "null_capacity_mw")
@@ -132,8 +132,7 @@ def _next_of_each_stage(log: DataFrame, slices: int) -> DataFrame:
     Rows are distinct in (ts, stage), so at most four share a time and the
     slices stay even however the times are spread.
     """
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
-    log = log.withColumn("_t", micros)
+    log = log.withColumn("_t", F.unix_micros(instant(F.col("ts"))))
     shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     cuts = log.select(F.percentile_approx("_t", shares, 100 * slices)).scalar()
     log = log.withColumn("_cuts", cuts).select(
@@ -143,22 +142,25 @@ def _next_of_each_stage(log: DataFrame, slices: int) -> DataFrame:
     def of(stage: str) -> Column:
         return F.when(F.col("stage") == stage, F.col("ts"))
 
-    later = Window.partitionBy("_slice").orderBy(F.col("ts").desc()).rangeBetween(Window.unboundedPreceding, 0)
     first_in_slice = log.groupBy("_slice").agg(*[F.min(of(s)).alias(f"_first_{s}") for s in STAGE_METRICS])
     slices_after = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = first_in_slice.select(
         "_slice", *[F.min(f"_first_{s}").over(slices_after).alias(f"_carry_{s}") for s in STAGE_METRICS]
     )
+    # Latest time first and, at one time, the last stage first: what precedes a row
+    # is all that may follow it in a run. One order serves all four minima.
+    stages = list(STAGE_METRICS)
+    depth = F.array_position(F.array(*map(F.lit, stages)), F.col("stage"))
+    order = Window.partitionBy("_slice").orderBy(F.col("ts").desc(), depth.desc())
+    here = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice, and there are as many slices as the caller asks for.
     joined = log.join(F.broadcast(carried), "_slice")
-    after = Window.partitionBy("_slice").orderBy(F.col("ts").desc(), (F.col("stage") == "bronze").cast("int").desc())
-    strictly_after = after.rowsBetween(Window.unboundedPreceding, -1)
-    nexts = {
-        f"next_{s}": F.coalesce(F.min(of(s)).over(later), F.col(f"_carry_{s}"))
-        for s in ("silver", "gold", "visualizations")
-    }
-    nexts["next_bronze"] = F.coalesce(F.min(of("bronze")).over(strictly_after), F.col("_carry_bronze"))
-    return joined.select("ts", "stage", *[c.alias(n) for n, c in nexts.items()])
+    nexts = [
+        F.coalesce(F.min(of(s)).over(before if s == "bronze" else here), F.col(f"_carry_{s}")).alias(f"next_{s}")
+        for s in stages
+    ]
+    return joined.select("ts", "stage", *nexts)
 
 
 def pipeline_runs(metrics: DataFrame, slices: int | None = None) -> DataFrame:

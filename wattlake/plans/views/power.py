@@ -47,12 +47,16 @@ def renewable_trend(t: Tables, as_of: Column | None = None) -> DataFrame:
 
 
 def global_fuel_dominance(t: Tables, as_of: Column | None = None) -> DataFrame:
-    """Share of every fuel. The grand total is a scalar subquery, so no join; the rank is over one row per fuel."""
+    """Share of every fuel.
+
+    The grand total is a scalar subquery over the per-fuel rows: no join, and both
+    read the same shuffle. The rank is over one row per fuel.
+    """
     rows = t["fact_power_generation"].filter(
         texts("primary_fuel") & known("primary_fuel") & values("total_generation_gwh")
     )
     by_fuel = rows.groupBy("primary_fuel").agg(total(F.col("total_generation_gwh")).alias("total_generation_gwh"))
-    everything = rows.select(total(F.col("total_generation_gwh"))).scalar()
+    everything = by_fuel.select(total(F.col("total_generation_gwh"))).scalar()
     return by_fuel.select(
         "primary_fuel",
         "total_generation_gwh",
