@@ -98,10 +98,8 @@ def read_report_csv(spark: SparkSession, path: str, columns: list[str], header:
 
 def json_path(text: Column, dotted: str) -> Column:
     """Part of a JSON text under a dotted path; a path that is not there is an error."""
-    found = F.get_json_object(text, f"$.{dotted}")
-    return F.when(found.isNotNull(), found).otherwise(
-        F.raise_error(F.concat(F.lit(f"path {dotted} not found in payload: "), F.coalesce(text, F.lit("null"))))
-    )
+    missing = F.raise_error(F.concat(F.lit(f"path {dotted} not found in payload: "), F.coalesce(text, F.lit("null"))))
+    return F.coalesce(F.get_json_object(text, f"$.{dotted}"), missing)
 
 
 def payload_rows(
