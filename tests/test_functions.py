@@ -88,10 +88,12 @@ def test_owner_mask(spark):
     assert many(spark, hashing.owner_mask, [" Sample Utility ", " ", None]) == ["OWNER_ede182a129", "UNKNOWN", "UNKNOWN"]
 
 
-def test_row_hash_tells_null_positions_apart(spark):
-    frame = spark.createDataFrame([(None, "a"), ("a", None)], "p string, q string")
+def test_row_hash(spark):
+    frame = spark.createDataFrame([(None, "a", None), ("a", None, "")], "p string, q string, r string")
     a, b = [r.h for r in frame.select(hashing.row_hash(["q", "p"]).alias("h")).collect()]
-    assert a == hashlib.sha256(b"\x01a").hexdigest() and a != b
+    assert a == hashlib.sha256(b"q=a").hexdigest() and b == hashlib.sha256(b"p=a").hexdigest()
+    wider = [r.h for r in frame.select(hashing.row_hash(["q", "p", "r"]).alias("h")).collect()]
+    assert wider == [a, b]  # columns that hold nothing do not count
 
 
 @settings(max_examples=5, deadline=None)

@@ -80,11 +80,11 @@ def year_text(c: str) -> str:
     return f"CAST(CAST(round(CAST({c} AS DOUBLE)) AS INTEGER) AS VARCHAR)"
 
 
-def row_hash(*columns: str, names: dict[str, str] | None = None) -> str:
-    """Hash over the given columns ordered by output name."""
-    ordered = sorted(columns, key=lambda c: (names or {}).get(c, c))
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in ordered)
-    return f"sha256(concat_ws(chr(1), {parts}))"
+def row_hash(*columns: str) -> str:
+    pairs = ", ".join(
+        f"CASE WHEN CAST({c} AS VARCHAR) <> '' THEN '{c}=' || CAST({c} AS VARCHAR) END" for c in sorted(columns)
+    )
+    return f"sha256(concat_ws(chr(1), {pairs}))"
 
 
 def hash_sum(digest: str) -> str:

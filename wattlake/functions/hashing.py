@@ -11,9 +11,16 @@ SEPARATOR = "\u0001"
 
 
 def row_hash(columns: Iterable[str]) -> Column:
-    """SHA-256 over the values in column-name order; a null hashes like an empty text."""
-    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(columns)]
-    return F.sha2(F.concat_ws(SEPARATOR, *values), 256)
+    """SHA-256 over ``name=value`` of the columns in name order; nulls and empty texts are left out.
+
+    A column added later hashes like one that was always there and empty, so
+    stored hashes stay comparable while feeds grow columns.
+    """
+    pairs = []
+    for c in sorted(columns):
+        value = F.col(f"`{c}`").cast("string")
+        pairs.append(F.when(value != "", F.concat(F.lit(f"{c}="), value)))
+    return F.sha2(F.concat_ws(SEPARATOR, *pairs), 256)
 
 
 def hash_weight(digest: Column) -> Column:

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from wattlake.constants import DROP_RATIO, SLA_HOURS, SPIKE_RATIO
 from wattlake.functions.hashing import hash_weight, row_hash
 from wattlake.functions.times import hours_between, parse_iso, year_start
+from wattlake.operators.upsert import latest_per_key
 
-ADDED_BY_INGEST = ("event_time", "is_late_arriving", "ingested_at", "source_name")
+ADDED_BY_INGEST = ("event_time", "is_late_arriving", "ingested_at", "source_name", "row_hash")
 SKIPPED = ("skipped", "no_changes")
 
 
@@ -56,26 +57,33 @@ def needs_ingest(fingerprints: DataFrame, state: DataFrame, force: bool = False)
 # --- changed rows ------------------------------------------------------------
 
 
+def with_row_hash(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    return df.withColumn("row_hash", row_hash(columns or business_columns(df)))
+
+
+def unseen_rows(hashed: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows whose hash is not among the known ones.
+
+    The hash covers the key, so a row is unchanged exactly when its hash is
+    known. An anti join emits each row at most once, however often a key repeats
+    on either side, and null keys need no care.
+    """
+    return hashed.join(known.select("row_hash").distinct(), "row_hash", "left_anti").select(hashed.columns)
+
+
+def known_hashes(bronze: DataFrame, key: str) -> DataFrame:
+    """Hash of the latest row of every key over all ingests; reads three columns of bronze."""
+    return latest_per_key(bronze.select(key, "ingested_at", "row_hash"), key, ["ingested_at"])
+
+
 def changed_rows(
     current: DataFrame, previous: DataFrame | None, key: str | None, columns: Iterable[str] | None = None
 ) -> DataFrame:
-    """Rows that are new or differ from the previous state; all rows without a key or a state.
-
-    The hash covers the key as well, so a row is unchanged exactly when its hash
-    is known: an anti join on the hash. It emits each row at most once, however
-    often a key repeats on either side.
-    """
+    """Rows that are new or differ from the previous state; all rows without a key or a state."""
     if previous is None or not key or key not in current.columns or key not in previous.columns:
         return current
-    compared = sorted(set(columns or [*business_columns(current), *business_columns(previous)]) | {key})
-
-    def hashed(df: DataFrame) -> Column:
-        missing = {c: F.lit("") for c in compared if c not in df.columns}
-        values = df.withColumns(missing) if missing else df
-        return values.withColumn("_row_hash", row_hash(compared))
-
-    known = hashed(previous).select("_row_hash").distinct()
-    return hashed(current).join(known, "_row_hash", "left_anti").select(current.columns)
+    chosen = {*columns, key} if columns else None
+    return unseen_rows(with_row_hash(current, chosen), with_row_hash(previous, chosen)).drop("row_hash")
 
 
 # --- event time and late rows --------------------------------------------------

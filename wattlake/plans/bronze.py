@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from wattlake.constants import DROP_RATIO, SPIKE_RATIO
 from wattlake.functions.times import at
 from wattlake.operators import ingest
-from wattlake.operators.upsert import latest_per_key
 from wattlake.sources.readers import read_dataset
 from wattlake.sources.registry import source_folder
 from wattlake.sources.sinks import (
@@ -40,20 +39,12 @@ def read_bronze(spark: SparkSession, bronze: str, source_name: str) -> DataFrame
         return None
 
 
-def known_rows(spark: SparkSession, bronze: str, source_name: str, key: str | None) -> DataFrame | None:
-    """The latest row of every key over all ingests of a source, business columns only."""
-    rows = read_bronze(spark, bronze, source_name)
-    if rows is None or not key or key not in rows.columns:
-        return None
-    columns = ingest.business_columns(rows)
-    return latest_per_key(rows.select(*columns, "ingested_at"), key, ["ingested_at"]).select(*columns)
-
-
 def ingest_source(spark: SparkSession, source: Row, state: Row | None, root: str, base: str, as_of: str, force: bool) -> dict:
     """Ingest one source; the returned fields describe it for the reports and the state.
 
-    The batch is written before it is counted, so its plan runs once. A run lost
-    after the write finds the rows in bronze and ingests nothing twice.
+    Bronze keeps each row's hash, so the diff reads three columns of it. The batch
+    is written before it is counted, so its plan runs once. A run lost after the
+    write finds the rows in bronze and ingests nothing twice.
     """
     bronze = f"{root}/bronze"
     current = read_dataset(spark, f"{base}/{source.path}", source.format)
@@ -62,8 +53,10 @@ def ingest_source(spark: SparkSession, source: Row, state: Row | None, root: str
     if not force and state is not None and state.last_output_path and state.last_file_hash == seen.content_hash:
         return found | {"last_status": "skipped"}
 
-    known = known_rows(spark, bronze, source.source_name, source.primary_key)
-    changed = ingest.changed_rows(current, known, source.primary_key)
+    changed = ingest.with_row_hash(current)
+    earlier, key = read_bronze(spark, bronze, source.source_name), source.primary_key
+    if earlier is not None and key and key in earlier.columns and key in current.columns:
+        changed = ingest.unseen_rows(changed, ingest.known_hashes(earlier, key))
     mark = state.event_time_watermark if state is not None else None
     dated = ingest.annotate_events(changed, source.event_time_column, at(str(mark)) if mark else None)
     append_bronze(ingest.add_provenance(dated, source.source_name, at(as_of)), bronze)

@@ -16,7 +16,7 @@ from wattlake.plans.medallion import clean_feed
 from wattlake.sources.readers import enabled_sources, latest_snapshot
 from wattlake.sources.sinks import VersionedTable, append_metrics, append_quarantine, metric_rows, write_report
 
-ADDED_BY_LAYOUT = ("ingest_year", "ingest_month", "ingest_day")
+ADDED_BY_LAYOUT = ("row_hash", "ingest_year", "ingest_month", "ingest_day")
 
 
 def silver_table(spark: SparkSession, root: str) -> VersionedTable:

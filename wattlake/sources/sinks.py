@@ -34,18 +34,26 @@ class VersionedTable:
     One writer at a time, any number of readers.
     """
 
-    LOG_SCHEMA = "version long, rows_written boolean"
+    LOG_SCHEMA = "version long, writer string, batch long"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def current_version(self) -> int | None:
+    def _newest(self, test: Column | None = None) -> int | None:
         try:
             log = self.spark.read.schema(self.LOG_SCHEMA).json(f"{self.path}/log")
         except AnalysisException:
             return None
-        return log.agg(F.max("version")).first()[0]
+        return (log if test is None else log.filter(test)).agg(F.max("version")).first()[0]
+
+    def current_version(self) -> int | None:
+        return self._newest()
+
+    def version_of(self, writer: str, batch: int) -> int:
+        """The version a stream batch has written, or the next one if it has not."""
+        done = self._newest((F.col("writer") == writer) & (F.col("batch") == batch))
+        return done or (self.current_version() or 0) + 1
 
     def version(self, version: int) -> DataFrame | None:
         """A given version; None for version 0, which is before the first."""
@@ -54,9 +62,9 @@ class VersionedTable:
     def read(self) -> DataFrame | None:
         return self.version(self.current_version() or 0)
 
-    def write_version(self, rows: DataFrame, version: int) -> None:
+    def write_version(self, rows: DataFrame, version: int, writer: str = "job", batch: int | None = None) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/v{version}")
-        log = self.spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(True).alias("rows_written"))
+        log = self.spark.createDataFrame([(version, writer, batch)], self.LOG_SCHEMA)
         log.write.mode("append").json(f"{self.path}/log")
 
     def replace(self, rows: DataFrame) -> DataFrame:

@@ -38,7 +38,8 @@ def ingest_stream(
     """Append every batch to bronze, flagging rows older than what came before.
 
     Late rows are kept. A streaming watermark would drop them, so the mark is
-    the newest event time of the earlier batches in bronze itself.
+    the newest event time of the earlier batches in bronze itself. Batch numbers
+    belong to the checkpoint: a new checkpoint needs a new bronze folder.
     """
     spark = rows.sparkSession
 
@@ -59,10 +60,16 @@ def ingest_stream(
 def upsert_stream(
     rows: DataFrame, table: VersionedTable, checkpoint: str, key: str = "plant_id", order: tuple[str, ...] = ("event_time", "ingested_at")
 ) -> None:
-    """Merge every batch into a table. Batch n writes version n + 1, so a repeat replaces its own result."""
+    """Merge every batch into a table.
+
+    The table's log knows which version a batch of this checkpoint wrote, so a
+    repeated batch replaces its own result. A new checkpoint starts new batches
+    on top of what is there.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.write_version(upsert(table.version(batch_id), batch, key, order), batch_id + 1)
+        version = table.version_of(checkpoint, batch_id)
+        table.write_version(upsert(table.version(version - 1), batch, key, order), version, checkpoint, batch_id)
 
     run_available(rows.writeStream.foreachBatch(merge), checkpoint)
 
