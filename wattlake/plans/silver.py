@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from wattlake.operators.conform import conform, event_period, union_by_name
 from wattlake.operators.upsert import upsert
 from wattlake.plans.bronze import read_bronze
 from wattlake.plans.medallion import clean_feed
-from wattlake.sources.readers import enabled_sources, latest_snapshot
+from wattlake.sources.readers import enabled_sources
 from wattlake.sources.sinks import VersionedTable, append_metrics, append_quarantine, metric_rows, write_report
 
 ADDED_BY_LAYOUT = ("row_hash", "ingest_year", "ingest_month", "ingest_day")
@@ -23,13 +25,28 @@ def silver_table(spark: SparkSession, root: str) -> VersionedTable:
     return VersionedTable(spark, f"{root}/silver/stg_power_plants")
 
 
+def snapshot_at(bronze: DataFrame, time: datetime) -> DataFrame:
+    """Rows of one ingest. The date columns of the layout keep the scan to that day's folders."""
+    day = {"ingest_year": time.year, "ingest_month": time.month, "ingest_day": time.day}
+    rows = bronze.filter(F.col("ingested_at") == at(str(time)))
+    for column, value in day.items():
+        rows = rows.filter(F.col(column) == value)
+    return rows.drop(*ADDED_BY_LAYOUT)
+
+
 def newest_batches(spark: SparkSession, registry: DataFrame, root: str) -> DataFrame:
-    """Newest ingest of every enabled source, cleaned and unioned by column name."""
+    """Newest ingest of every enabled source, cleaned and unioned by column name.
+
+    The state of the ingest job says when that was, so no history is scanned.
+    """
+    state = VersionedTable(spark, f"{root}/audit/source_state").read()
+    newest = {} if state is None else {r.source_name: r.last_ingested_at for r in state.collect()}
     feeds = []
     for row in enabled_sources(registry).select("source_name").collect():
-        bronze = read_bronze(spark, f"{root}/bronze", row.source_name)
+        time = newest.get(row.source_name)
+        bronze = read_bronze(spark, f"{root}/bronze", row.source_name) if time else None
         if bronze is not None:
-            feeds.append(clean_feed(latest_snapshot(bronze).drop(*ADDED_BY_LAYOUT)))
+            feeds.append(clean_feed(snapshot_at(bronze, time)))
     if not feeds:
         raise FileNotFoundError("no bronze data for any enabled source")
     return union_by_name(feeds)
