@@ -24,6 +24,7 @@ from wattlake.functions.hashing import owner_mask, owner_prefix_mask
 from wattlake.functions.text import clean_text, title_case
 from wattlake.operators import conform, upsert
 from wattlake.sources import bindings
+from wattlake.sources.readers import spread
 
 
 @query("cnf_01_column_names", "SELECT o_orderkey AS order_key, o_orderstatus AS order_status, o_totalprice AS total_price_usd FROM orders")
@@ -133,12 +134,12 @@ def fuel(spark, sf_dir):
 
 @query("cnf_12_text_clean", f"SELECT doc_id, {clean('text')} AS cleaned FROM documents")
 def text_clean(spark, sf_dir):
-    return bindings.table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
+    return spread(bindings.table(spark, sf_dir, "documents")).select("doc_id", clean_text(F.col("text")).alias("cleaned"))
 
 
 @query("cnf_12_text_title", f"SELECT doc_id, md5({title('text')}) AS title_md5 FROM documents")
 def text_title(spark, sf_dir):
-    return bindings.table(spark, sf_dir, "documents").select("doc_id", F.md5(title_case(F.col("text"))).alias("title_md5"))
+    return spread(bindings.table(spark, sf_dir, "documents")).select("doc_id", F.md5(title_case(F.col("text"))).alias("title_md5"))
 
 
 @query("cnf_13_geography", with_ctes(

@@ -11,6 +11,7 @@ from wattlake.functions.times import at, iso_text, parse_iso
 from wattlake.operators import ingest
 from wattlake.operators.upsert import latest_per_key
 from wattlake.sources import bindings
+from wattlake.sources.readers import spread
 
 LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate")
@@ -26,7 +27,7 @@ def source_fingerprint(spark, sf_dir):
 
 @query("ing_02_dataset_fingerprint", f"SELECT count(*) AS row_count, {hash_sum(row_hash(*ORDER))} AS content_hash FROM orders")
 def dataset_fingerprint(spark, sf_dir):
-    return ingest.content_fingerprint(bindings.table(spark, sf_dir, "orders"))
+    return ingest.content_fingerprint(spread(bindings.table(spark, sf_dir, "orders")))
 
 
 # State of the sources after an earlier run: the content of the deliveries of some
@@ -66,7 +67,7 @@ def needs_ingest(spark, sf_dir):
 def hashed_rows(spark, sf_dir):
     from wattlake.functions.hashing import row_hash as spark_row_hash
 
-    return bindings.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", spark_row_hash(LINE).alias("row_hash"))
+    return spread(bindings.table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", spark_row_hash(LINE).alias("row_hash"))
 
 
 CUT = "2001-01-01 00:00:00"

@@ -63,7 +63,7 @@ def payload_array(spark, sf_dir):
     item = lambda name, c: F.struct(F.lit(name).alias("name"), F.col(c).alias("value"))
     items = F.array(item("quantity", "l_quantity"), item("tax", "l_tax"))
     body = F.to_json(F.struct(F.struct(items.alias("items")).alias("data")))
-    payloads = bindings.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", body.alias("payload"))
+    payloads = readers.spread(bindings.table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", body.alias("payload"))
     return readers.payload_rows(payloads, "payload", "name string, value double", "data.items", keep=("l_orderkey", "l_linenumber"))
 
 

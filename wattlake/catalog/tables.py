@@ -29,7 +29,6 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables(spark, sf_dir)["batch"]
 
 
-@lru_cache(maxsize=4)
 def monthly_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality report of every month of readings: each month is one run."""
     rows = conformed_batch(bindings.readings(spark, sf_dir)).withColumn("run", bindings.run_month())

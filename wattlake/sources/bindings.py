@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wattlake.functions.times import at, iso_text
+from wattlake.sources.readers import spread
 
 AS_OF = "2001-08-02 00:00:00"
 AGE_AS_OF = "2025-01-01 00:00:00"
@@ -157,7 +158,7 @@ def ingest_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as rows each source (supplier) delivered."""
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("source_name"))
-    return table(spark, sf_dir, "lineitem").join(supplier, "l_suppkey")
+    return spread(table(spark, sf_dir, "lineitem")).join(supplier, "l_suppkey")
 
 
 def source_state(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,15 @@ def read_report_csv(spark: SparkSession, path: str, columns: list[str], header:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one task per core for costly row work on a table of few, unsplittable files.
+
+    A table with more scan tasks than cores, which is any large one, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 # --- payload texts -----------------------------------------------------------
 
 
