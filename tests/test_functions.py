@@ -51,6 +51,16 @@ def test_exact_sum_does_not_depend_on_order(spark):
     assert up == down == 100.0
 
 
+def test_values_no_fixed_point_holds_still_count(spark):
+    for rows, expected in (([1.0, float("inf")], float("inf")), ([1e30, 1e30], 2e30), ([1.0, None], 1.0)):
+        df = spark.createDataFrame([(r,) for r in rows], "x double")
+        assert df.agg(numbers.exact_sum(F.col("x"))).first()[0] == expected
+
+
+def test_nan_is_no_number(spark):
+    assert many(spark, numbers.to_double, ["NaN", "1.5", "x", None]) == [None, 1.5, None, None]
+
+
 def test_sums_of_nothing(spark):
     nulls = spark.createDataFrame([(None,)], "x double")
     row = nulls.agg(numbers.exact_sum(F.col("x")).alias("a"), numbers.total(F.col("x")).alias("b"), numbers.exact_avg(F.col("x")).alias("c")).first()

@@ -190,20 +190,21 @@ def quarantine_sink(spark, sf_dir):
     return spark.read.parquet(folder).select("plant_id", "run_id")
 
 
-@query("snk_04_csv_report", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, '[' || n_regionkey || ']' AS regions FROM nation")
+@query("snk_04_csv_report", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, '[' || c_nationkey || ']' AS nations FROM customer")
 def csv_report(spark, sf_dir):
     folder = new_folder(spark, "snk-04")
-    nation = bindings.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", F.array("n_regionkey").alias("regions"))
-    sinks.write_report(nation, folder)
+    customer = bindings.table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.array("c_nationkey").alias("nations"))
+    sinks.write_report(customer, folder)
     return readers.read_dataset(spark, folder, "csv")
 
 
-@query("snk_05_json_document", "SELECT n_name, n_regionkey FROM nation")
+@query("snk_05_json_document", "SELECT c_name, c_nationkey FROM customer")
 def json_document(spark, sf_dir):
     folder = new_folder(spark, "snk-05")
-    nation = bindings.table(spark, sf_dir, "nation").select(F.struct("n_name", F.struct("n_regionkey").alias("in")).alias("doc"))
-    sinks.write_document(nation, folder)
-    return spark.read.schema("doc struct<n_name:string,in:struct<n_regionkey:int>>").json(folder).select("doc.n_name", "doc.in.n_regionkey")
+    customer = bindings.table(spark, sf_dir, "customer").select(F.struct("c_name", F.struct("c_nationkey").alias("in")).alias("doc"))
+    sinks.write_document(customer, folder)
+    back = spark.read.schema("doc struct<c_name:string,in:struct<c_nationkey:int>>").json(folder)
+    return back.select("doc.c_name", "doc.in.c_nationkey")
 
 
 @query("snk_06_append_metrics", f"""

@@ -11,7 +11,8 @@ FIXED_POINT = "decimal(28,6)"
 
 
 def to_double(value: Column) -> Column:
-    return value.try_cast("double")
+    """A number from anything; what is none, NaN included, is null."""
+    return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
 
 
 def to_int(value: Column) -> Column:
@@ -20,8 +21,13 @@ def to_int(value: Column) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum of doubles, null over an all-null group as in SQL."""
-    return F.sum(value.cast(FIXED_POINT)).cast("double")
+    """Sum of doubles, null over an all-null group as in SQL.
+
+    A group holding infinite or immense values is summed as doubles instead.
+    """
+    fixed = value.try_cast(FIXED_POINT)
+    unfit = F.count_if(fixed.isNull() & value.isNotNull())
+    return F.when(unfit > 0, F.sum(value)).otherwise(F.sum(fixed).cast("double"))
 
 
 def total(value: Column) -> Column:
