@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from wattlake.plans.bronze import run_bronze
 from wattlake.plans.gold import run_charts, run_gold
 from wattlake.plans.silver import run_silver
+from wattlake.functions.times import at
+from wattlake.operators.quality import row_counts
 from wattlake.plans.views import plant
+from wattlake.plans.views.registry import VIEWS, open_lake, register_all
 from wattlake.sources.registry import registry_of
 from wattlake.sources.sinks import VersionedTable
 
@@ -139,6 +142,18 @@ def test_every_stage_reports_its_metrics(lake, spark):
     assert {"bronze_rows_ingested", "silver_valid_rows", "gold_rows_fact_capacity", "visualizations_generated"} <= names
 
 
+def test_every_view_answers_over_the_lake(lake, spark):
+    tables = open_lake(spark, lake["root"])
+    register_all(tables, at("2026-02-03 00:00:00"))
+    counts = row_counts({name: spark.table(name) for name in VIEWS})
+    found = {r.view_name: r.row_count for r in counts.collect()}
+    assert set(found) == set(VIEWS)
+    assert found["vw_power_generation_country_capacity"] == 3 and found["vw_monitoring_dq_failure_breakdown"] == 2
+    kpi = spark.sql("SELECT total_generation_capacity_mw, renewable_energy_ratio FROM vw_power_generation_kpi_summary").first()
+    assert tuple(kpi) == (635.0, 1.0)
+    assert spark.sql("SELECT lag_hours FROM vw_monitoring_freshness WHERE source_name = 'plants'").first().lag_hours is None
+
+
 def test_silver_is_the_same_when_run_again(lake, spark):
     """The newest bronze batch is the old version of one plant: merging it twice changes nothing more."""
     root, registry = lake["root"], lake["registry"]
