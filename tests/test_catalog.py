@@ -11,7 +11,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, compare  # noqa: E402
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from wattlake import catalog  # noqa: E402
+
+catalog.load()
+QUERIES, SQL = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
