@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattlake.llm import bpe, chat, exact, packing, pii, simhash
+from wattlake.llm import bpe, chat, exact, packing, pii, quality, simhash
 from wattlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,23 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+#: Scores from here on are taken for class 1.
+ACCEPTED = 0.7
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    """Learnt without the rows that are held out."""
+    return quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+
+
+@query("op1_subword_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         F.when(F.col("score") >= ACCEPTED, 1).otherwise(0).alias("predicted"))
+
+
 @query("op4_prefix_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(read(spark, sf_dir, "documents"))
