@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import bpe, chat, exact, packing, pii, quality, simhash
+from wattlake.llm import bpe, chat, exact, packing, pii, quality, simhash, substring
 from wattlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,22 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("score") >= ACCEPTED, 1).otherwise(0).alias("predicted"))
 
 
+@query("op2_relative_lempel_ziv", """
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    starts AS (SELECT doc_id, s, array_to_string(words[s:s + 34], ' ') AS win
+               FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS s FROM w WHERE len(words) >= 35)),
+    again AS (SELECT doc_id, s FROM starts WHERE win IN (SELECT win FROM starts GROUP BY win HAVING count(*) > 1)),
+    gone AS (SELECT DISTINCT doc_id, s + k AS i FROM again, range(0, 35) AS r(k)),
+    each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+    kept AS (SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS text, count(*) AS n
+             FROM each e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id)
+    SELECT w.doc_id, len(w.words) AS n_words, len(w.words) - coalesce(k.n, 0) AS n_removed,
+           sha256(coalesce(k.text, '')) AS kept_sha256
+    FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
+
+
 @query("op4_prefix_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(read(spark, sf_dir, "documents"))
