@@ -24,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from wattlake.llm.common import batches_of, id_and_text, rows
+from wattlake.llm.common import batches_of, byte_names, id_and_text, rows
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CACHED_CHARS = 64
@@ -33,14 +33,6 @@ CACHED_WORDS = 400_000
 _SPACE = r"\t-\r \x85\xa0  -     　"
 
 
-def _byte_names() -> list[str]:
-    """The printable stand-in of every byte: itself where printable, else the next code point from 256."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = (b for b in range(256) if b not in plain)
-    moved = {b: 256 + k for k, b in enumerate(rest)}
-    return [chr(moved.get(b, b)) for b in range(256)]
-
-
 class PrefixBpe:
     """Encoder and decoder over one vocabulary file."""
 
@@ -55,7 +47,7 @@ class PrefixBpe:
         self.ids = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in self.ids.items()} | {i: t for t, i in self.special.items()}
-        self._names = _byte_names()
+        self._names = byte_names()
         self.pairs: dict[tuple[int, int], int] = {}
         self.halves: dict[int, tuple[int, int]] = {}
         #: When a token is made: bytes first, then merges by rank.

@@ -21,60 +21,51 @@ import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from wattlake.llm.common import batches_of, id_and_text, rows
+from wattlake.llm.common import batches_of, byte_names, id_and_text, rows
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SEQUENCE = 2048
 END_ID = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 SHARD_TOKENS = 4_000_000
-CACHED_CHARS = 64
-CACHED_CHUNKS = 400_000
 _ID_BYTES = 4
-#: Where this occurs a space does not always begin a token.
-_SPACES = re.compile(r" \s")
+#: Characters without a change between white space and other characters.
+LONG_RUN = 20_000
+_LONG_RUN = re.compile(rf"\S{{{LONG_RUN}}}|\s{{{LONG_RUN}}}")
 
 
 def cost(tokens: int) -> float:
     return LINEAR * tokens + QUADRATIC * tokens * tokens
 
 
-class ChunkEncoder:
-    """Ids of texts as little-endian 32-bit bytes.
+class Encoder:
+    """Ids of texts as little-endian 32-bit bytes, those of the ``tokenizers`` library for the given file.
 
-    The tokenizer's pattern begins a token at every space before a visible character, so a text may be cut there, and
-    chunks met before need no encoding. Texts with a space before other white space are encoded whole.
+    ``tiktoken`` finds the same ids from the same vocabulary some four times as fast; texts with a run too long for its
+    pattern engine go through ``tokenizers`` itself.
     """
 
     def __init__(self, path: str = VOCABULARY):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch(chunks, add_special_tokens=False)
-        return [b"".join([i.to_bytes(_ID_BYTES, "little") for i in e.ids]) for e in made]
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        byte_of = {name: bytes([b]) for b, name in enumerate(byte_names())}
+        ranks = {b"".join(map(byte_of.__getitem__, t)): i for t, i in self.tokenizer.get_vocab().items() if t not in special}
+        self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(self, text: str) -> bytes:
-        if _SPACES.search(text):
-            return self._encode([text])[0]
-        first, *rest = text.split(" ")
-        chunks = [first, *[" " + c for c in rest]]
-        if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        known = self.known
-        if new := list({c for c in chunks if c not in known}):
-            made = dict(zip(new, self._encode(new), strict=True))
-            known.update((c, ids) for c, ids in made.items() if len(c) <= CACHED_CHARS)
-            return b"".join([known.get(c) or made.get(c, b"") for c in chunks])
-        return b"".join([known[c] for c in chunks])
+        if len(text) > LONG_RUN and _LONG_RUN.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 #: document, start, length, sequence, offset
@@ -189,7 +180,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _pieces(docs: Iterator[tuple], path: str, with_ids: bool) -> Iterator[tuple]:
-    encoder, context = ChunkEncoder(path), TaskContext.get()
+    encoder, context = Encoder(path), TaskContext.get()
     next_id = (context.partitionId() if context else 0) << 40
     for shard in _shards(docs, encoder):
         used = 0
@@ -202,7 +193,7 @@ def _pieces(docs: Iterator[tuple], path: str, with_ids: bool) -> Iterator[tuple]
         next_id += used
 
 
-def _shards(docs: Iterator[tuple], encoder: ChunkEncoder) -> Iterator[list[tuple[int, bytes]]]:
+def _shards(docs: Iterator[tuple], encoder: Encoder) -> Iterator[list[tuple[int, bytes]]]:
     held, tokens, end = [], 0, END_ID.to_bytes(_ID_BYTES, "little")
     for doc_id, text in docs:
         ids = encoder.encode(text) + end
