@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import bpe, chat, exact, packing, pii, quality, simhash, substring
-from wattlake.llm.common import read
+from wattlake.llm import bpe, chat, exact, packing, pii, quality, search, simhash, substring
+from wattlake.llm.common import read, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,26 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(read(spark, sf_dir, "documents"), with_text=False)
 
 
+@query("op3_block_max_wand", """
+    WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')) AS term FROM documents),
+    tf AS (SELECT doc_id, term, count(*) AS n FROM t GROUP BY doc_id, term),
+    len AS (SELECT doc_id, sum(n) AS n FROM tf GROUP BY doc_id),
+    all_docs AS (SELECT count(*)::DOUBLE AS docs, (SELECT sum(n) FROM len) / count(*) AS mean FROM documents),
+    df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    hits AS (SELECT q.doc_id AS query_id, d.doc_id,
+                    round(sum(q.n * ln(1 + (docs - df + 0.5) / (df + 0.5))
+                              * d.n * 2.2 / (d.n + 1.2 * (0.25 + 0.75 * len.n / mean))), 4) AS score
+             FROM tf q JOIN tf d USING (term) JOIN df USING (term) JOIN len ON len.doc_id = d.doc_id, all_docs
+             WHERE q.doc_id % 50 = 0 GROUP BY q.doc_id, d.doc_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM hits)
+    SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    index = written(search.build_index(docs), "search-index")
+    return search.top_k(index, docs.where("doc_id % 50 = 0"), k=10)
+
+
 @query("op4_prefix_bpe")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(read(spark, sf_dir, "documents"))
