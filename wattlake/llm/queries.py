@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import bpe, chat, exact, packing, pii, quality, search, simhash, substring
+from wattlake.llm import bpe, chat, exact, lm, packing, pii, quality, search, simhash, substring
 from wattlake.llm.common import read, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+@query("op7_stupid_backoff", """
+    WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    t AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+    g AS (SELECT b.doc_id, b.word, a.word AS before FROM t b LEFT JOIN t a ON a.doc_id = b.doc_id AND a.i = b.i - 1),
+    c1 AS (SELECT word, count(*)::DOUBLE AS n FROM t GROUP BY word),
+    c2 AS (SELECT before, word, count(*)::DOUBLE AS n FROM g WHERE before IS NOT NULL GROUP BY before, word),
+    s AS (SELECT g.doc_id, ln(CASE WHEN g.before IS NULL THEN x.n / total WHEN c2.n >= 2 THEN c2.n / u.n
+                              ELSE 0.4 * x.n / total END) AS log_score
+          FROM g JOIN c1 x ON x.word = g.word LEFT JOIN c1 u ON u.word = g.before
+          LEFT JOIN c2 ON c2.before = g.before AND c2.word = g.word, (SELECT count(*)::DOUBLE AS total FROM t))
+    SELECT w.doc_id, any_value(len(w.words)) AS n_words, round(avg(log_score), 6) AS mean_log_score
+    FROM w LEFT JOIN s ON s.doc_id = w.doc_id GROUP BY w.doc_id""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
+
+
 @query("op8_digest_index", """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
            doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
