@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattlake.operators import conform as c
+from wattlake.plans.medallion import conformed_batch
 
 
 def column(df, name, by="i"):
@@ -52,6 +53,17 @@ def test_canonical_columns(spark):
     assert (row.plant_id, row.plant_name, row.country, row.estimated_generation_gwh) == ("G1", "Alpha", "India", 3.0)
 
 
+def test_each_feed_of_a_batch_may_name_its_columns_otherwise(spark):
+    public = spark.createDataFrame([("G1", "Alpha", "IND", "India", "5", "Wind", "2001", "1", "2")],
+                                   "gppd_idnr string, name string, country string, country_long string, capacity_mw string, "
+                                   "primary_fuel string, commissioning_year string, latitude string, longitude string")
+    own = spark.createDataFrame([("P1", "Beta", "Peru", "7", "Hydro", "2002", "3", "4")],
+                                "plant_id string, plant_name string, country string, capacity_mw string, primary_fuel string, "
+                                "commissioning_year string, latitude string, longitude string")
+    got = conformed_batch(public, own).select("plant_id", "plant_name", "country", "capacity_mw").collect()
+    assert sorted(map(tuple, got)) == [("G1", "Alpha", "India", 5.0), ("P1", "Beta", "Peru", 7.0)]
+
+
 def test_geography_defaults_to_other(spark):
     df = spark.createDataFrame([(0, "India"), (1, "Atlantis"), (2, None)], "i int, country string")
     out = c.enrich_geography(df)

@@ -80,7 +80,7 @@ def test_metric_policy(spark, root):
     got = [r.x for r in df.select(metric_allowed(F.col("metric_name"), F.col("metric_value")).alias("x")).collect()]
     assert got == [True, True, False, False, False, False]
     with pytest.raises(Exception, match="metric not allowed"):
-        append_metrics(df.withColumn("metric_timestamp", F.lit("t")), root)
+        append_metrics(df.withColumn("metric_timestamp", F.lit("t")), root, "run-1")
 
 
 def test_contract_outcomes(spark, plants):

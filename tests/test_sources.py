@@ -27,6 +27,20 @@ def test_payloads(spark):
 
 def test_tolerant_read(spark, root):
     assert readers.read_or_empty(spark, f"{root}/none", "a int").count() == 0
+    spark.createDataFrame([("no parquet",)], "value string").write.text(f"{root}/bad")
+    assert readers.read_or_empty(spark, f"{root}/bad", "a int").count() == 0
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        readers.existing(lambda: spark.range(1).select("no_such_column"))
+
+
+def test_mixed_formats(spark, root):
+    with pytest.raises(Exception):
+        readers.read_mixed(spark, f"{root}/none")
+    spark.createDataFrame([(1,)], "a int").write.json(f"{root}/j")
+    assert [r.a for r in readers.read_mixed(spark, root).collect()] == [1]
+    spark.createDataFrame([("x",)], "value string").write.text(f"{root}/t")
+    with pytest.raises(ValueError, match="txt"):
+        readers.read_mixed(spark, root)
 
 
 def test_snapshot_matches_whole_names(spark):
@@ -62,8 +76,9 @@ def test_state_merge_keeps_what_new_rows_do_not_say(spark):
 
 def test_reports_flatten_nested_values(spark, root):
     df = spark.range(1).select(F.array(F.lit("x")).alias("a"), F.lit(1).alias("b"))
-    sinks.write_report(df, root)
-    assert tuple(spark.read.option("header", True).csv(root).first()) == ('["x"]', "1")
+    for _ in range(2):  # a repeated run replaces its report
+        sinks.write_report(df, root, "2024-01-01 00:00:00")
+    assert [tuple(r) for r in spark.read.option("header", True).csv(root).drop("run").collect()] == [('["x"]', "1")]
 
 
 def test_bronze_append_prunes_by_source_and_day(spark, root):

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake.catalog.registry import query
-from wattlake.catalog.sql import exact, with_ctes
+from wattlake.catalog.sql import summed, with_ctes
 from wattlake.operators import alerts
 from wattlake.sources import bindings
 
 
 def _windows(rule: alerts.Rule, metric: str, test: str) -> str:
-    statistic = exact("metric_value") if rule.statistic == "sum" else "max(metric_value)"
+    statistic = summed("metric_value") if rule.statistic == "sum" else "max(metric_value)"
     return with_ctes(
         f"""SELECT '{rule.name}' AS alert, w AS window_start, w + INTERVAL {rule.period} AS window_end, v AS metric_value
             FROM (SELECT time_bucket(INTERVAL {rule.period}, ts) AS w, {statistic} AS v FROM metrics_log
@@ -38,7 +38,7 @@ def freshness_lag(spark, sf_dir):
 @query("alr_03_no_ingest", with_ctes(
     f"""SELECT 'no_ingest' AS alert, w AS window_start, w + INTERVAL 1 HOUR AS window_end, coalesce(v, 0.0::DOUBLE) AS metric_value
         FROM (SELECT unnest(generate_series(time_bucket(INTERVAL 1 HOUR, min(ts)), max(ts), INTERVAL 1 HOUR)) AS w FROM metrics_log)
-        LEFT JOIN (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, {exact('metric_value')} AS v FROM metrics_log
+        LEFT JOIN (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, {summed('metric_value')} AS v FROM metrics_log
                    WHERE metric_name = 'bronze_rows_ingested' GROUP BY 1) USING (w)
         WHERE coalesce(v, 0) <= 0""", "metrics_log"))
 def no_ingest(spark, sf_dir):

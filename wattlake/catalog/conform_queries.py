@@ -23,8 +23,8 @@ from wattlake.constants import COUNTRY_ALIASES, FUEL_ALIASES, RENEWABLE_FUELS
 from wattlake.functions.hashing import owner_mask, owner_prefix_mask
 from wattlake.functions.text import clean_text, title_case
 from wattlake.operators import conform, upsert
+from wattlake.plans.medallion import conformed_batch
 from wattlake.sources import bindings
-from wattlake.sources.readers import spread
 
 
 @query("cnf_01_column_names", "SELECT o_orderkey AS order_key, o_orderstatus AS order_status, o_totalprice AS total_price_usd FROM orders")
@@ -74,6 +74,21 @@ def canonical_aliases(spark, sf_dir):
     return conform.canonical_columns(raw)
 
 
+@query("cnf_05_mixed_feeds", """
+    SELECT CAST(s_suppkey AS VARCHAR) AS plant_id, s_name AS plant_name, s_acctbal AS capacity_mw FROM supplier
+    UNION ALL SELECT 'C' || c_custkey, c_name, c_acctbal FROM customer""")
+def mixed_feeds(spark, sf_dir):
+    """Two feeds that name their columns differently, in one batch."""
+    fixed = {"country": "India", "primary_fuel": "Wind", "commissioning_year": "2001", "latitude": "1", "longitude": "2"}
+    common = [F.lit(v).alias(k) for k, v in fixed.items()]
+    public = bindings.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("gppd_idnr"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("capacity_mw"), *common)
+    own = bindings.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("Plant ID"), F.col("c_name").alias("plant_name"),
+        F.col("c_acctbal").alias("capacity_mw"), *common)
+    return conformed_batch(public, own).select("plant_id", "plant_name", "capacity_mw")
+
+
 @query("cnf_06_country_from_code", """
     SELECT c_custkey, CASE WHEN c_nationkey < 10 THEN n_name ELSE 'N ' || c_nationkey END AS country, n_name AS country_long
     FROM customer JOIN nation ON c_nationkey = n_nationkey""")
@@ -134,12 +149,12 @@ def fuel(spark, sf_dir):
 
 @query("cnf_12_text_clean", f"SELECT doc_id, {clean('text')} AS cleaned FROM documents")
 def text_clean(spark, sf_dir):
-    return spread(bindings.table(spark, sf_dir, "documents")).select("doc_id", clean_text(F.col("text")).alias("cleaned"))
+    return bindings.table(spark, sf_dir, "documents").select("doc_id", clean_text(F.col("text")).alias("cleaned"))
 
 
 @query("cnf_12_text_title", f"SELECT doc_id, md5({title('text')}) AS title_md5 FROM documents")
 def text_title(spark, sf_dir):
-    return spread(bindings.table(spark, sf_dir, "documents")).select("doc_id", F.md5(title_case(F.col("text"))).alias("title_md5"))
+    return bindings.table(spark, sf_dir, "documents").select("doc_id", F.md5(title_case(F.col("text"))).alias("title_md5"))
 
 
 @query("cnf_13_geography", with_ctes(

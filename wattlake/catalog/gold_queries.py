@@ -57,6 +57,18 @@ def missing_inputs(spark, sf_dir):
     return counts.withColumnRenamed("view_name", "fact")
 
 
+@query("gld_05_small_values", """
+    SELECT l_returnflag AS country, l_linestatus AS primary_fuel,
+           CAST(printf('%.8e', sum(l_tax * 1e-7::DOUBLE) * (1 + 3e-12::DOUBLE)) AS DOUBLE) AS total_capacity_mw
+    FROM lineitem GROUP BY ALL""")
+def small_values(spark, sf_dir):
+    """Capacities below a millionth still add up."""
+    tiny = bindings.table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("country"), F.col("l_linestatus").alias("primary_fuel"), (F.col("l_tax") * 1e-7).alias("capacity_mw"))
+    facts = gold.fact_plant_capacity(tiny).select("country", "primary_fuel", "total_capacity_mw")
+    return facts.withColumn("total_capacity_mw", F.format_string("%.8e", F.col("total_capacity_mw") * (1 + 3e-12)).cast("double"))
+
+
 @query("gld_10_kpi_report", with_ctes(
     f"""SELECT {RUN} AS generated_at, mw AS total_generation_capacity_mw, {ratio('clean', 'mw')} AS renewable_energy_ratio,
                (SELECT coalesce({mean('capacity_mw')}, 0.0::DOUBLE) FROM dim_plant) AS average_plant_capacity_mw,

@@ -11,7 +11,6 @@ from wattlake.functions.times import at, iso_text, parse_iso
 from wattlake.operators import ingest
 from wattlake.operators.upsert import latest_per_key
 from wattlake.sources import bindings
-from wattlake.sources.readers import spread
 
 LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate")
@@ -27,7 +26,7 @@ def source_fingerprint(spark, sf_dir):
 
 @query("ing_02_dataset_fingerprint", f"SELECT count(*) AS row_count, {hash_sum(row_hash(*ORDER))} AS content_hash FROM orders")
 def dataset_fingerprint(spark, sf_dir):
-    return ingest.content_fingerprint(spread(bindings.table(spark, sf_dir, "orders")))
+    return ingest.content_fingerprint(bindings.table(spark, sf_dir, "orders"))
 
 
 # State of the sources after an earlier run: the content of the deliveries of some
@@ -67,7 +66,7 @@ def needs_ingest(spark, sf_dir):
 def hashed_rows(spark, sf_dir):
     from wattlake.functions.hashing import row_hash as spark_row_hash
 
-    return spread(bindings.table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", spark_row_hash(LINE).alias("row_hash"))
+    return bindings.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", spark_row_hash(LINE).alias("row_hash"))
 
 
 CUT = "2001-01-01 00:00:00"
@@ -103,6 +102,17 @@ def changed_against_all_bronze(spark, sf_dir):
     return ingest.changed_rows(rows.filter(F.col("status") == "F").select(*columns), known, "plant_id")
 
 
+@query("ing_05_repeated_keys", """
+    SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'A'""")
+def repeated_keys(spark, sf_dir):
+    """Keys with several rows: only the rows that changed since the live rows come back."""
+    before = bindings.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    live = ingest.live_rows(ingest.with_row_hash(before.drop("l_returnflag")), "l_orderkey", None)
+    changed = F.when(F.col("l_returnflag") == "A", F.col("l_quantity") + 0.5).otherwise(F.col("l_quantity"))
+    now = ingest.with_row_hash(before.withColumn("l_quantity", changed).drop("l_returnflag"))
+    return ingest.unseen_rows(now, live).select("l_orderkey", "l_linenumber", (F.col("l_quantity") - 0.5).alias("l_quantity"))
+
+
 @query("ing_06_no_change", """
     SELECT count(*) AS changed_rows, CASE WHEN count(*) = 0 THEN 'no_changes' ELSE 'ingested' END AS status
     FROM orders WHERE false""")
@@ -301,7 +311,7 @@ def volume_report(spark, sf_dir):
                (SELECT count(*) FROM freshness WHERE missing_updates) AS freshness_missing_updates_sources,
                (SELECT count(*) FROM freshness WHERE ingestion_delay_breached) AS freshness_ingestion_delay_breached_sources,
                volume_spike_detected_sources, volume_drop_detected_sources, true AS retry_failed_ingestion_supported,
-               '--replay-failed-only' AS retry_failed_ingestion_arg FROM rollup""",
+               'failed_only' AS retry_failed_ingestion_arg FROM rollup""",
     "source_registry", "source_state", "source_outcomes", **FRESHNESS_CTES, **OUTCOME_CTES, rollup=ROLLUP))
 def reliability_report(spark, sf_dir):
     return ingest.reliability_report(

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattlake.catalog.steady import SUMS, steady_rows, steady_sql
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,9 +21,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = f
+        QUERIES[name] = wraps(f)(lambda spark, sf_dir: steady_rows(f(spark, sf_dir), name)) if name in SUMS else f
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[name] = steady_sql(sql, name)
         return f
 
     return register

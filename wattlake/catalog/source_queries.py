@@ -63,7 +63,7 @@ def payload_array(spark, sf_dir):
     item = lambda name, c: F.struct(F.lit(name).alias("name"), F.col(c).alias("value"))
     items = F.array(item("quantity", "l_quantity"), item("tax", "l_tax"))
     body = F.to_json(F.struct(F.struct(items.alias("items")).alias("data")))
-    payloads = readers.spread(bindings.table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", body.alias("payload"))
+    payloads = bindings.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", body.alias("payload"))
     return readers.payload_rows(payloads, "payload", "name string, value double", "data.items", keep=("l_orderkey", "l_linenumber"))
 
 
@@ -88,9 +88,11 @@ def first_file(spark, sf_dir):
     """Of two files the one whose path sorts first."""
     folder = new_folder(spark, "src-06f")
     supplier = bindings.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    supplier.coalesce(1).write.option("header", True).csv(f"{folder}/a")
-    supplier.select((F.col("s_suppkey") + 1).alias("s_suppkey"), "s_name").coalesce(1).write.option("header", True).csv(f"{folder}/b")
-    back = readers.first_file_of(readers.read_directory(spark, folder, "csv"))
+    first = supplier.repartitionByRange(1, "s_suppkey")  # one file is what such a feed ships
+    first.write.option("header", True).csv(f"{folder}/a")
+    supplier.select((F.col("s_suppkey") + 1).alias("s_suppkey"), "s_name").write.option("header", True).csv(f"{folder}/b")
+    files = readers.read_directory(spark, folder, "csv")
+    back = readers.first_file_of(files, lambda path: readers.read_dataset(spark, path, "csv"))
     return back.select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_name")
 
 
@@ -111,6 +113,15 @@ def mixed_formats(spark, sf_dir):
     return readers.read_mixed(spark, folder).select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name")
 
 
+@query("src_08_one_format", "SELECT s_suppkey, s_name FROM supplier")
+def one_format(spark, sf_dir):
+    """A folder that holds one of the formats only."""
+    folder = new_folder(spark, "src-08-one")
+    supplier = bindings.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("s_suppkey"), "s_name")
+    supplier.write.option("header", True).csv(folder)
+    return readers.read_mixed(spark, folder).select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "s_name")
+
+
 @query("src_09_registry", with_ctes("SELECT source_name, s_suppkey FROM source_registry WHERE enabled IS NOT false", "source_registry"))
 def source_registry(spark, sf_dir):
     """A registry file with one source per supplier."""
@@ -151,6 +162,16 @@ def tolerant_read(spark, sf_dir):
     }).withColumnRenamed("view_name", "report")
 
 
+@query("src_12_bad_file", "SELECT s_suppkey FROM supplier")
+def bad_file(spark, sf_dir):
+    """A folder of good Parquet files with one among them that is none."""
+    folder = new_folder(spark, "src-12")
+    supplier = bindings.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"))
+    supplier.write.parquet(f"{folder}/part=1")
+    supplier.select(F.col("s_suppkey").cast("string").alias("value")).write.text(f"{folder}/part=2")
+    return readers.read_or_empty(spark, folder, "s_suppkey bigint", pathGlobFilter="part-*").select("s_suppkey")
+
+
 # --- sinks ------------------------------------------------------------------------------
 
 
@@ -163,7 +184,7 @@ def partitioned_append(spark, sf_dir):
     orders = bindings.table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderpriority").alias("source_name"),
         F.date_trunc("year", "o_orderdate").cast("timestamp_ntz").alias("ingested_at"))
-    sinks.append_bronze(orders.repartition("source_name", "ingested_at"), folder)
+    sinks.append_bronze(orders, folder)
     back = spark.read.parquet(folder)
     return back.select("o_orderkey", "source_name", F.col("ingest_year").cast("int").alias("ingest_year"),
                        F.col("ingest_month").cast("int").alias("ingest_month"))
@@ -190,12 +211,33 @@ def quarantine_sink(spark, sf_dir):
     return spark.read.parquet(folder).select("plant_id", "run_id")
 
 
+@query("snk_03_repeated_run", with_ctes(
+    "SELECT plant_id, 'run-1' AS run_id FROM batch WHERE country IS NULL", "batch"))
+def repeated_run(spark, sf_dir):
+    """A run repeated after a failure replaces what it had written."""
+    folder = new_folder(spark, "snk-03r")
+    rows = shared.batch(spark, sf_dir)
+    sinks.append_quarantine(rows.filter(F.col("capacity_mw") < 0), folder, "run-1")
+    sinks.append_quarantine(rows.filter(F.col("country").isNull()), folder, "run-1")
+    return spark.read.parquet(folder).select("plant_id", "run_id")
+
+
+@query("snk_06_repeated_run", f"""
+    SELECT {RUN} AS metric_timestamp, 'gold_orders' AS metric_name, CAST(count(*) AS DOUBLE) AS metric_value FROM orders""")
+def repeated_metrics(spark, sf_dir):
+    folder = new_folder(spark, "snk-06r")
+    of = bindings.table(spark, sf_dir, "orders").agg(F.count("*").alias("v"))
+    for _ in range(2):
+        sinks.append_metrics(sinks.metric_rows(spark, {"gold_orders": F.col("v")}, at(bindings.AS_OF), of=of), folder, "run-1")
+    return spark.read.parquet(folder).drop("run")
+
+
 @query("snk_04_csv_report", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, '[' || c_nationkey || ']' AS nations FROM customer")
 def csv_report(spark, sf_dir):
     folder = new_folder(spark, "snk-04")
     customer = bindings.table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.array("c_nationkey").alias("nations"))
-    sinks.write_report(customer, folder)
-    return readers.read_dataset(spark, folder, "csv")
+    sinks.write_report(customer, folder, "2001-01-01 00:00:00")
+    return readers.read_dataset(spark, folder, "csv").drop("run")
 
 
 @query("snk_05_json_document", "SELECT c_name, c_nationkey FROM customer")
@@ -215,8 +257,8 @@ def append_metrics(spark, sf_dir):
     values = {"gold_orders": F.count("*"), "silver_newest_year": F.max(F.year("o_orderdate"))}
     for name, value in values.items():
         of = bindings.table(spark, sf_dir, "orders").agg(value.alias("v"))
-        sinks.append_metrics(sinks.metric_rows(spark, {name: F.col("v")}, at(bindings.AS_OF), of=of), folder)
-    return spark.read.parquet(folder)
+        sinks.append_metrics(sinks.metric_rows(spark, {name: F.col("v")}, at(bindings.AS_OF), of=of), folder, name)
+    return spark.read.parquet(folder).drop("run")
 
 
 @query("snk_07_state_merge", with_ctes(

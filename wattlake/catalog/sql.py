@@ -56,16 +56,16 @@ def present(*columns: str) -> str:
     return " AND ".join(f"{c} IS NOT NULL" for c in columns)
 
 
-def exact(c: str) -> str:
-    return f"CAST(sum(CAST({c} AS DECIMAL(28,6))) AS DOUBLE)"
+def summed(c: str) -> str:
+    return f"sum(CAST({c} AS DOUBLE))"
 
 
 def total(c: str) -> str:
-    return f"coalesce({exact(c)}, 0.0::DOUBLE)"
+    return f"coalesce({summed(c)}, 0.0::DOUBLE)"
 
 
 def mean(c: str) -> str:
-    return f"({exact(c)} / nullif(count({c}), 0))"
+    return f"avg(CAST({c} AS DOUBLE))"
 
 
 def ratio(part: str, whole: str) -> str:

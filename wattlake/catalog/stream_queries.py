@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake.catalog.registry import query
-from wattlake.catalog.sql import exact, with_ctes
+from wattlake.catalog.sql import summed, with_ctes
 from wattlake.functions.text import lookup
 from wattlake.operators import alerts
 from wattlake.session import new_folder
@@ -59,7 +59,7 @@ def streaming_upsert(spark, sf_dir):
 
 @query("str_04_windowed_alerts", with_ctes(
     f"""SELECT 'dq_failures' AS alert, w AS window_start, w + INTERVAL 5 MINUTE AS window_end, v AS metric_value
-        FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS w, {exact('metric_value')} AS v FROM metrics_log
+        FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS w, {summed('metric_value')} AS v FROM metrics_log
               WHERE metric_name = 'dq_failure_count' GROUP BY 1)
         WHERE v > 0 AND w + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM metrics_log WHERE metric_name = 'dq_failure_count')
               - INTERVAL 1 HOUR""", "metrics_log"))

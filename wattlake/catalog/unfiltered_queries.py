@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wattlake.catalog import tables as shared
 from wattlake.catalog.registry import query
-from wattlake.catalog.sql import AGE, CTES, RUN, exact, iso, mean, ratio, with_ctes
+from wattlake.catalog.sql import AGE, CTES, RUN, summed, iso, mean, ratio, with_ctes
 from wattlake.catalog.view_queries import MONTHLY
 from wattlake.catalog.quality_queries import NULL_JSON, RANGE_JSON
 from wattlake.functions.times import at
@@ -34,34 +34,34 @@ def _sql(select: str, **extra: str) -> str:
 
 
 FLAGGED = "SELECT g.*, f.is_renewable FROM fact_power_generation g LEFT JOIN dim_fuel_type f ON g.primary_fuel = f.primary_fuel"
-CLEAN = exact(f"CASE WHEN is_renewable THEN {GWH} ELSE 0 END")
-DIRTY = exact(f"CASE WHEN NOT is_renewable THEN {GWH} ELSE 0 END")
+CLEAN = summed(f"CASE WHEN is_renewable THEN {GWH} ELSE 0 END")
+DIRTY = summed(f"CASE WHEN NOT is_renewable THEN {GWH} ELSE 0 END")
 
 
 @query("vg_01_country_capacity_unfiltered", _sql(
-    f"""SELECT country, {exact('total_capacity_mw')} AS total_capacity_mw, {exact('renewable_capacity_mw')} AS renewable_capacity_mw,
-               {exact('total_capacity_mw')} - {exact('renewable_capacity_mw')} AS non_renewable_capacity_mw
+    f"""SELECT country, {summed('total_capacity_mw')} AS total_capacity_mw, {summed('renewable_capacity_mw')} AS renewable_capacity_mw,
+               {summed('total_capacity_mw')} - {summed('renewable_capacity_mw')} AS non_renewable_capacity_mw
         FROM fact_plant_capacity GROUP BY 1"""))
 def country_capacity(spark, sf_dir):
     return unfiltered.country_capacity(_tables(spark, sf_dir))
 
 
 @query("vg_02_fuel_distribution_unfiltered", _sql(
-    f"SELECT country, primary_fuel, {exact(GWH)} AS {GWH} FROM fact_power_generation GROUP BY ALL"))
+    f"SELECT country, primary_fuel, {summed(GWH)} AS {GWH} FROM fact_power_generation GROUP BY ALL"))
 def fuel_distribution(spark, sf_dir):
     return unfiltered.fuel_distribution(_tables(spark, sf_dir))
 
 
 @query("vg_03_renewable_trend_unfiltered", _sql(
     f"""SELECT year, country, {CLEAN} AS renewable_generation_gwh, {DIRTY} AS non_renewable_generation_gwh,
-               {ratio(CLEAN, exact(GWH))} AS renewable_generation_ratio FROM flagged GROUP BY ALL""", flagged=FLAGGED))
+               {ratio(CLEAN, summed(GWH))} AS renewable_generation_ratio FROM flagged GROUP BY ALL""", flagged=FLAGGED))
 def renewable_trend(spark, sf_dir):
     return unfiltered.renewable_trend(_tables(spark, sf_dir)).withColumn("year", F.col("year").cast("bigint"))
 
 
 @query("vs_08_renewable_adoption_trend", _sql(
-    f"""SELECT year, country, {CLEAN} AS renewable_generation_gwh, {exact(GWH)} AS {GWH},
-               {ratio(CLEAN, exact(GWH))} AS renewable_adoption_ratio FROM flagged GROUP BY ALL""", flagged=FLAGGED))
+    f"""SELECT year, country, {CLEAN} AS renewable_generation_gwh, {summed(GWH)} AS {GWH},
+               {ratio(CLEAN, summed(GWH))} AS renewable_adoption_ratio FROM flagged GROUP BY ALL""", flagged=FLAGGED))
 def renewable_adoption_trend(spark, sf_dir):
     return unfiltered.renewable_adoption_trend(_tables(spark, sf_dir)).withColumn("year", F.col("year").cast("bigint"))
 
@@ -97,15 +97,15 @@ def capacity_utilization(spark, sf_dir):
 
 
 @query("vx_01_plant_distribution_unfiltered", _sql(
-    f"""SELECT country, count(*) AS plant_count, {exact('capacity_mw')} AS total_capacity_mw, {mean('capacity_mw')} AS avg_capacity_mw
+    f"""SELECT country, count(*) AS plant_count, {summed('capacity_mw')} AS total_capacity_mw, {mean('capacity_mw')} AS avg_capacity_mw
         FROM dim_plant GROUP BY 1"""))
 def plant_distribution(spark, sf_dir):
     return unfiltered.plant_distribution(_tables(spark, sf_dir))
 
 
 @query("vx_03_generation_density_unfiltered", _sql(
-    f"""SELECT p.country, count(DISTINCT plant_id) AS plant_count, {exact('capacity_mw')} AS total_capacity_mw,
-               {exact(GWH)} AS {GWH}, {exact(GWH)} / count(DISTINCT plant_id) AS generation_per_plant_gwh
+    f"""SELECT p.country, count(DISTINCT plant_id) AS plant_count, {summed('capacity_mw')} AS total_capacity_mw,
+               {summed(GWH)} AS {GWH}, {summed(GWH)} / count(DISTINCT plant_id) AS generation_per_plant_gwh
         FROM dim_plant p LEFT JOIN fact_power_generation g ON p.country = g.country AND p.primary_fuel = g.primary_fuel GROUP BY 1"""))
 def generation_density(spark, sf_dir):
     return unfiltered.generation_density(_tables(spark, sf_dir))

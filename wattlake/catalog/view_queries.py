@@ -49,9 +49,9 @@ def renewable_trend(spark, sf_dir):
 
 @query("vg_04_global_fuel_dominance", with_ctes(
     f"""SELECT primary_fuel, gwh AS total_generation_gwh,
-               {ratio('gwh', "CAST(sum(d) OVER () AS DOUBLE)")} AS fuel_share_ratio,
+               {ratio('gwh', "sum(gwh) OVER ()")} AS fuel_share_ratio,
                CAST(rank() OVER (ORDER BY gwh DESC) AS INTEGER) AS fuel_rank
-        FROM (SELECT primary_fuel, {total(GWH)} AS gwh, sum(CAST({GWH} AS DECIMAL(28,6))) AS d
+        FROM (SELECT primary_fuel, {total(GWH)} AS gwh
               FROM fact_power_generation WHERE {has_text('primary_fuel')} AND {known('primary_fuel')} GROUP BY 1)""",
     "fact_power_generation"))
 def global_fuel_dominance(spark, sf_dir):
@@ -88,9 +88,9 @@ def largest_plants(spark, sf_dir):
 
 
 def _aging_sql(table: str, a: str, b: str) -> str:
-    older = lambda n: f"CAST(count(*) FILTER (commissioning_year < year({AGE}) - {n}) AS INTEGER)"
+    older = lambda n: f"count(*) FILTER (commissioning_year < year({AGE}) - {n})"
     return with_ctes(
-        f"""SELECT {a}, {b}, CAST(count(*) AS INTEGER) AS plant_count,
+        f"""SELECT {a}, {b}, count(*) AS plant_count,
                    CAST(round({mean('commissioning_year')}) AS INTEGER) AS avg_commissioning_year,
                    {older(30)} AS aging_30_plus_count, {older(40)} AS aging_40_plus_count
             FROM {table} WHERE {has_text(a, b)} AND commissioning_year IS NOT NULL GROUP BY ALL""", table)
@@ -143,7 +143,7 @@ def _by_country(count: str) -> str:
             FROM dim_plant WHERE {has_text('country')} AND capacity_mw IS NOT NULL GROUP BY 1""", "dim_plant")
 
 
-@query("vs_02_country_distribution", _by_country("CAST(count(*) AS INTEGER)"))
+@query("vs_02_country_distribution", _by_country("count(*)"))
 def country_distribution(spark, sf_dir):
     return sustain.country_distribution(shared.tables(spark, sf_dir))
 
@@ -210,7 +210,7 @@ def plant_distribution_by_country(spark, sf_dir):
 
 
 @query("vx_02_plant_distribution_by_region", with_ctes(
-    f"""SELECT continent, sub_region, CAST(count(*) AS INTEGER) AS plant_count,
+    f"""SELECT continent, sub_region, count(*) AS plant_count,
                {total('capacity_mw')} AS total_capacity_mw
         FROM silver WHERE {has_text('continent', 'sub_region')} GROUP BY ALL""", "silver"))
 def plant_distribution_by_region(spark, sf_dir):
@@ -245,7 +245,7 @@ def heatmap_points(spark, sf_dir):
 
 
 @query("vx_05_country_infrastructure_density", with_ctes(
-    f"""SELECT country, CAST(count(*) AS INTEGER) AS plant_count, {total('capacity_mw')} AS total_capacity_mw,
+    f"""SELECT country, count(*) AS plant_count, {total('capacity_mw')} AS total_capacity_mw,
                {ratio("count(*)::DOUBLE", f"({total('capacity_mw')} / 1000.0::DOUBLE)")} AS plants_per_1000_mw
         FROM silver WHERE {has_text('country')} GROUP BY 1""", "silver"))
 def country_infrastructure_density(spark, sf_dir):
@@ -271,12 +271,12 @@ RANGES = "invalid_capacity_rows + invalid_commissioning_year_rows"
 
 
 def _ints(*names: str) -> str:
-    return ", ".join(f"CAST({n} AS INTEGER) AS {n}" for n in names)
+    return ", ".join(f"CAST({n} AS BIGINT) AS {n}" for n in names)
 
 
 @query("vm_01_data_quality", with_ctes(
     f"""SELECT run AS run_timestamp, 'readings' AS dataset, {_ints('input_rows', 'valid_rows', 'malformed_rows')},
-               CAST({NULLS} AS INTEGER) AS null_issues, CAST({RANGES} AS INTEGER) AS range_issues,
+               CAST({NULLS} AS BIGINT) AS null_issues, CAST({RANGES} AS BIGINT) AS range_issues,
                valid_rows::DOUBLE / input_rows AS valid_ratio FROM monthly""", "readings", "batch", monthly=MONTHLY))
 def data_quality(spark, sf_dir):
     return monitor.data_quality({"audit_silver_quality_report": shared.quality_text(spark, sf_dir)})
@@ -284,11 +284,11 @@ def data_quality(spark, sf_dir):
 
 BREAKDOWN = f"""
     SELECT run AS run_timestamp, 'readings' AS dataset, {_ints('input_rows', 'valid_rows')},
-           CAST(greatest(input_rows - valid_rows, 0) AS INTEGER) AS distinct_failed_records,
+           CAST(greatest(input_rows - valid_rows, 0) AS BIGINT) AS distinct_failed_records,
            {_ints('malformed_rows', 'null_plant_name', 'null_country', 'null_primary_fuel', 'null_capacity_mw',
                   'invalid_capacity_rows', 'invalid_commissioning_year_rows')},
-           CAST({NULLS} AS INTEGER) AS null_issue_points, CAST({RANGES} AS INTEGER) AS range_issue_points,
-           CAST(malformed_rows + {NULLS} + {RANGES} AS INTEGER) AS total_issue_points,
+           CAST({NULLS} AS BIGINT) AS null_issue_points, CAST({RANGES} AS BIGINT) AS range_issue_points,
+           CAST(malformed_rows + {NULLS} + {RANGES} AS BIGINT) AS total_issue_points,
            greatest(input_rows - valid_rows, 0)::DOUBLE / input_rows AS distinct_failure_ratio
     FROM monthly"""
 
@@ -393,7 +393,7 @@ def latency(spark, sf_dir):
 
 
 @query("vm_11_duplicate_plants", with_ctes(
-    f"""SELECT plant_id, CAST(count(*) AS INTEGER) AS duplicate_count, max({iso('ingested_at')}) AS latest_ingested_at
+    f"""SELECT plant_id, count(*) AS duplicate_count, max({iso('ingested_at')}) AS latest_ingested_at
         FROM readings GROUP BY 1 HAVING count(*) > 1""", "readings"))
 def duplicate_plants(spark, sf_dir):
     """Over the readings, where a plant occurs once per reading."""
@@ -463,7 +463,7 @@ def quarantine_null_records(spark, sf_dir):
 
 
 @query("vm_14_quarantine_null_summary", with_ctes(
-    f"""SELECT source_table, quarantine_reason, CAST(count(*) AS INTEGER) AS quarantined_records
+    f"""SELECT source_table, quarantine_reason, count(*) AS quarantined_records
         FROM ({NULL_RECORDS}) GROUP BY ALL""", "batch", **RAW_GOLD))
 def quarantine_null_summary(spark, sf_dir):
     return monitor.quarantine_null_summary(_ungated(spark, sf_dir), shared.as_of())

@@ -1,15 +1,10 @@
-"""Numeric expressions that never raise on dirty values and never depend on row order."""
+"""Numeric expressions that never raise on dirty values."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Doubles are summed as fixed-point numbers: the result is the same whatever the
-# order of rows, tasks and retries. Six decimals, 22 digits before the point.
-FIXED_POINT = "decimal(28,6)"
-
-
 def to_double(value: Column) -> Column:
     """A number from anything; what is none, NaN included, is null."""
     return F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
@@ -20,23 +15,14 @@ def to_int(value: Column) -> Column:
     return value.try_cast("double").try_cast("int")
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum of doubles, null over an all-null group as in SQL.
-
-    A group holding infinite or immense values is summed as doubles instead.
-    """
-    fixed = value.try_cast(FIXED_POINT)
-    unfit = F.count_if(fixed.isNull() & value.isNotNull())
-    return F.when(unfit > 0, F.sum(value)).otherwise(F.sum(fixed).cast("double"))
+def to_long(value: Column) -> Column:
+    """As ``to_int`` for counts of any size."""
+    return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
 
 
 def total(value: Column) -> Column:
-    """As ``exact_sum`` but 0 over an all-null or empty group."""
-    return F.coalesce(exact_sum(value), F.lit(0.0))
-
-
-def exact_avg(value: Column) -> Column:
-    return F.try_divide(exact_sum(value), F.count(value))
+    """Sum of doubles, 0 over an all-null or empty group."""
+    return F.coalesce(F.sum(value), F.lit(0.0))
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.functions.numbers import exact_sum
 
 
 @dataclass(frozen=True)
@@ -42,7 +41,7 @@ def _breach(value: Column, rule: Rule) -> Column:
 
 def _statistic(rule: Rule) -> Column:
     value = F.col("metric_value")
-    return exact_sum(value) if rule.statistic == "sum" else F.max(value)
+    return F.sum(value) if rule.statistic == "sum" else F.max(value)
 
 
 def windowed(metrics: DataFrame, rule: Rule) -> DataFrame:

@@ -52,23 +52,22 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+# Canonical column -> names other feeds use for it, best first. Fixed values.
+OTHER_NAMES = {"plant_id": ("gppd_idnr", "wepp_id"), "plant_name": ("name",)}
+
+
 def canonical_columns(df: DataFrame) -> DataFrame:
-    """Fill the canonical columns from the names other feeds use for them."""
-    have = set(df.columns)
-    if "plant_id" not in have:
-        for other in ("gppd_idnr", "wepp_id"):
-            if other in have:
-                df = df.withColumn("plant_id", F.col(other))
-                break
-    if "plant_name" not in have and "name" in have:
-        df = df.withColumn("plant_name", F.col("name"))
-    if {"country", "country_long"} <= have:
-        df = df.withColumn("country", country_from_code(F.col("country"), F.col("country_long")))
-    if "estimated_generation_gwh" not in have:
-        yearly = sorted((c for c in have if c.startswith(YEARLY_GENERATION_PREFIX)), reverse=True)
-        if yearly:
-            df = df.withColumn("estimated_generation_gwh", latest_known(yearly))
-    return df
+    """Fill the canonical columns of one feed from the other names it may use, row by row."""
+    yearly = sorted((c for c in df.columns if c.startswith(YEARLY_GENERATION_PREFIX)), reverse=True)
+    names = OTHER_NAMES | {"estimated_generation_gwh": tuple(yearly)}
+    filled = {}
+    for column, others in names.items():
+        known = [c for c in (column, *others) if c in df.columns]
+        if known and known != [column]:
+            filled[column] = latest_known(known)
+    if {"country", "country_long"} <= set(df.columns):
+        filled["country"] = country_from_code(F.col("country"), F.col("country_long"))
+    return df.withColumns(filled)
 
 
 def country_from_code(country: Column, long_name: Column) -> Column:
@@ -161,5 +160,5 @@ def is_renewable(fuel: Column) -> Column:
 
 def conform(df: DataFrame) -> DataFrame:
     """All steps from canonical raw columns to a conformed batch."""
-    df = standardise_units(null_placeholders(canonical_columns(df)))
+    df = standardise_units(null_placeholders(df))
     return enrich_geography(normalise_country_and_fuel(df))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.hashing import owner_mask, owner_prefix_mask
-from wattlake.functions.numbers import exact_avg, ratio, total
+from wattlake.functions.numbers import ratio, total
 from wattlake.operators.conform import is_renewable
 
 PLANT_COLUMNS = (
@@ -111,7 +111,7 @@ def annual_generation_trends(generation: DataFrame) -> DataFrame:
 
 def kpi_report(capacity: DataFrame, plants: DataFrame, generation: DataFrame, as_of: Column) -> DataFrame:
     """The mandatory KPIs as one row. Each part is an aggregate of its own table."""
-    mean = plants.select(F.coalesce(exact_avg(F.col("capacity_mw")), F.lit(0.0))).scalar()
+    mean = plants.select(F.coalesce(F.avg(F.col("capacity_mw")), F.lit(0.0))).scalar()
     pairs = generation.select("country", "primary_fuel").distinct().select(F.count("*")).scalar()
     years = generation.select("year").distinct().select(F.count("*")).scalar()
     totals = capacity.agg(

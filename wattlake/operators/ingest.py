@@ -71,9 +71,16 @@ def unseen_rows(hashed: DataFrame, known: DataFrame) -> DataFrame:
     return hashed.join(known.select("row_hash").distinct(), "row_hash", "left_anti").select(hashed.columns)
 
 
-def known_hashes(bronze: DataFrame, key: str) -> DataFrame:
-    """Hash of the latest row of every key over all ingests; reads three columns of bronze."""
-    return latest_per_key(bronze.select(key, "ingested_at", "row_hash"), key, ["ingested_at"])
+def live_rows(hashed: DataFrame, key: str, known: DataFrame | None) -> DataFrame:
+    """(key, row_hash) of the rows a feed stands for: all rows of the keys it holds, and what is known of other keys.
+
+    A key may have any number of rows. Later feeds are compared with this, so no history is read.
+    """
+    now = hashed.select(F.col(key).cast("string").alias("key"), "row_hash").distinct()
+    if known is None:
+        return now
+    held = now.select("key").distinct()
+    return now.unionByName(known.select("key", "row_hash").join(held, "key", "left_anti"))
 
 
 def changed_rows(
@@ -287,7 +294,7 @@ def reliability_report(registry: DataFrame, outcomes: DataFrame, freshness: Data
         "volume_spike_detected_sources",
         "volume_drop_detected_sources",
         F.lit(True).alias("retry_failed_ingestion_supported"),
-        F.lit("--replay-failed-only").alias("retry_failed_ingestion_arg"),
+        F.lit("failed_only").alias("retry_failed_ingestion_arg"),
     )
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from datetime import datetime
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.constants import DROP_RATIO, SPIKE_RATIO
 from wattlake.functions.times import at
 from wattlake.operators import ingest
-from wattlake.sources.readers import read_dataset
+from wattlake.sources.readers import existing, read_dataset
 from wattlake.sources.registry import source_folder
 from wattlake.sources.sinks import (
     VersionedTable,
@@ -17,6 +18,7 @@ from wattlake.sources.sinks import (
     append_metrics,
     merge_state,
     metric_rows,
+    run_key,
     write_report,
 )
 
@@ -31,20 +33,31 @@ STATE_FIELDS = [part.split()[0] for part in STATE_SCHEMA.split(", ")]
 
 def read_bronze(spark: SparkSession, bronze: str, source_name: str) -> DataFrame | None:
     """All rows of a source, or None before its first ingest."""
-    try:
-        return (
-            spark.read.option("basePath", bronze).option("mergeSchema", True).parquet(source_folder(bronze, source_name))
-        )
-    except AnalysisException:
-        return None
+    folder = source_folder(bronze, source_name)
+    return existing(lambda: spark.read.option("basePath", bronze).option("mergeSchema", True).parquet(folder))
+
+
+def rows_of_run(rows: DataFrame, time: str) -> DataFrame:
+    """Rows ingested at a time. The date columns of the layout keep the scan to that day's folders."""
+    day = datetime.fromisoformat(time)
+    layout = {"ingest_year": day.year, "ingest_month": day.month, "ingest_day": day.day}
+    rows = rows.filter(F.col("ingested_at") == at(time))
+    for column, value in layout.items():
+        rows = rows.filter(F.col(column) == value)
+    return rows
+
+
+def live_table(spark: SparkSession, root: str, source_name: str) -> VersionedTable:
+    """What the source's rows are at present, as (key, row_hash)."""
+    return VersionedTable(spark, source_folder(f"{root}/audit/live_rows", source_name))
 
 
 def ingest_source(spark: SparkSession, source: Row, state: Row | None, root: str, base: str, as_of: str, force: bool) -> dict:
     """Ingest one source; the returned fields describe it for the reports and the state.
 
-    Bronze keeps each row's hash, so the diff reads three columns of it. The batch
-    is written before it is counted, so its plan runs once. A run lost after the
-    write finds the rows in bronze and ingests nothing twice.
+    The feed is compared with the source's live rows, which are replaced after the batch is written: a run lost in
+    between finds the same rows changed again. Run again for the same time it writes to the place of its first try.
+    The batch is written before it is counted, so its plan runs once.
     """
     bronze = f"{root}/bronze"
     current = read_dataset(spark, f"{base}/{source.path}", source.format)
@@ -53,19 +66,21 @@ def ingest_source(spark: SparkSession, source: Row, state: Row | None, root: str
     if not force and state is not None and state.last_output_path and state.last_file_hash == seen.content_hash:
         return found | {"last_status": "skipped"}
 
-    changed = ingest.with_row_hash(current)
-    earlier, key = read_bronze(spark, bronze, source.source_name), source.primary_key
-    if earlier is not None and key and key in earlier.columns and key in current.columns:
-        changed = ingest.unseen_rows(changed, ingest.known_hashes(earlier, key))
+    hashed = changed = ingest.with_row_hash(current)
+    live, key = live_table(spark, root, source.source_name), source.primary_key
+    keyed = bool(key) and key in current.columns
+    known = live.read() if keyed else None
+    if known is not None:
+        changed = ingest.unseen_rows(hashed, known)
     mark = state.event_time_watermark if state is not None else None
     dated = ingest.annotate_events(changed, source.event_time_column, at(str(mark)) if mark else None)
     append_bronze(ingest.add_provenance(dated, source.source_name, at(as_of)), bronze)
 
     found["last_file_hash"] = seen.content_hash
     written = read_bronze(spark, bronze, source.source_name)
-    counts = None
-    if written is not None:
-        counts = ingest.batch_outcome(written.filter(F.col("ingested_at") == at(as_of))).first()
+    counts = ingest.batch_outcome(rows_of_run(written, as_of)).first() if written is not None else None
+    if keyed:
+        live.replace(ingest.live_rows(hashed, key, known))
     if counts is None and not force:
         return found | {"last_status": "no_changes"}
     newest = counts.newest_event_time if counts else None
@@ -153,18 +168,18 @@ def run_bronze(
         }
     )
     # Written once and read back: the reports must not look at a state that changes under them.
-    report_path = f"{root}/audit/bronze_run_report/run={as_of.replace(' ', 'T').replace(':', '')}"
-    write_report(outcomes, report_path, mode="overwrite")
+    write_report(outcomes, f"{root}/audit/bronze_run_report", as_of)
+    report_path = f"{root}/audit/bronze_run_report/run={run_key(as_of)}"
     outcomes = spark.read.schema(outcomes.schema).option("header", True).csv(report_path)
     state = store.replace(merge_state(state, new_state.select(*STATE_FIELDS)))
 
     freshness = ingest.freshness_report(registry, state, outcomes, at(as_of))
-    write_report(ingest.volume_report(outcomes), f"{root}/audit/volume_report", mode="append")
-    write_report(freshness, f"{root}/audit/freshness_report", mode="append")
+    write_report(ingest.volume_report(outcomes), f"{root}/audit/volume_report", as_of)
+    write_report(freshness, f"{root}/audit/freshness_report", as_of)
     write_report(
-        ingest.reliability_report(registry, outcomes, freshness, at(as_of)), f"{root}/audit/dq_reliability_report", mode="append"
+        ingest.reliability_report(registry, outcomes, freshness, at(as_of)), f"{root}/audit/dq_reliability_report", as_of
     )
-    append_metrics(ingest.rollup_metrics(ingest.run_rollup(outcomes), at(as_of)), f"{root}/audit/metrics")
+    append_metrics(ingest.rollup_metrics(ingest.run_rollup(outcomes), at(as_of)), f"{root}/audit/metrics", f"bronze-{as_of}")
     totals = freshness.agg(F.count_if("missing_updates").alias("missing"), F.count_if("ingestion_delay_breached").alias("late"))
     late = metric_rows(
         spark,
@@ -175,5 +190,5 @@ def run_bronze(
         at(as_of),
         of=totals,
     )
-    append_metrics(late, f"{root}/audit/metrics")
+    append_metrics(late, f"{root}/audit/metrics", f"freshness-{as_of}")
     return outcomes

@@ -64,7 +64,7 @@ def run_gold(spark: SparkSession, root: str, as_of: str) -> dict[str, DataFrame]
         "gold_country_wise_fuel_distribution_rows": F.col("country_wise_fuel_distribution_rows"),
         "gold_annual_generation_trends_rows": F.col("annual_generation_trends_rows"),
     }
-    append_metrics(metric_rows(spark, values, run_time, of=row), f"{root}/audit/metrics")
+    append_metrics(metric_rows(spark, values, run_time, of=row), f"{root}/audit/metrics", f"gold-{as_of}")
     return written
 
 
@@ -81,5 +81,5 @@ def run_charts(spark: SparkSession, root: str, as_of: str) -> DataFrame:
     manifest = gold.chart_manifest(written)
     write_document(manifest, f"{root}/visualizations/manifest")
     metrics = metric_rows(spark, {"visualizations_generated": F.col("count")}, at(as_of), of=manifest)
-    append_metrics(metrics, f"{root}/audit/metrics")
+    append_metrics(metrics, f"{root}/audit/metrics", f"charts-{as_of}")
     return manifest

@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.times import iso_text
 from wattlake.operators import gold, quality
-from wattlake.operators.conform import coerce_numbers, conform, conform_names, event_period, trim_text
+from wattlake.operators.conform import canonical_columns, coerce_numbers, conform, conform_names, event_period, trim_text, union_by_name
 from wattlake.operators.upsert import add_to_quarantine, upsert
 
 
 def clean_feed(raw: DataFrame) -> DataFrame:
-    """Names, text and numbers of one feed."""
-    return coerce_numbers(trim_text(conform_names(raw)))
+    """Names, text and numbers of one feed; what it calls otherwise gets its canonical name before feeds are unioned."""
+    return canonical_columns(coerce_numbers(trim_text(conform_names(raw))))
 
 
-def conformed_batch(raw: DataFrame) -> DataFrame:
-    return conform(quality.require_columns(clean_feed(raw)))
+def conformed_batch(*raw: DataFrame) -> DataFrame:
+    """One batch of any number of feeds."""
+    return conform(quality.require_columns(union_by_name(map(clean_feed, raw))))
 
 
 def _merged(batch: DataFrame, current: DataFrame | None) -> DataFrame:

@@ -1,10 +1,9 @@
-"""The conforming job: newest batch of every source, gated, merged and reported."""
+"""The conforming job: all new batches of every source, gated, merged and reported."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,48 +14,53 @@ from wattlake.operators.conform import conform, event_period, union_by_name
 from wattlake.operators.upsert import upsert
 from wattlake.plans.bronze import read_bronze
 from wattlake.plans.medallion import clean_feed
-from wattlake.sources.readers import enabled_sources
+from wattlake.sources.readers import enabled_sources, existing
 from wattlake.sources.sinks import VersionedTable, append_metrics, append_quarantine, metric_rows, write_report
 
-ADDED_BY_LAYOUT = ("row_hash", "ingest_year", "ingest_month", "ingest_day")
+ADDED_BY_LAYOUT = ("row_hash", "ingest_year", "ingest_month", "ingest_day", "ingest_run")
 
 
 def silver_table(spark: SparkSession, root: str) -> VersionedTable:
     return VersionedTable(spark, f"{root}/silver/stg_power_plants")
 
 
-def snapshot_at(bronze: DataFrame, time: datetime) -> DataFrame:
-    """Rows of one ingest. The date columns of the layout keep the scan to that day's folders."""
-    day = {"ingest_year": time.year, "ingest_month": time.month, "ingest_day": time.day}
-    rows = bronze.filter(F.col("ingested_at") == at(str(time)))
-    for column, value in day.items():
-        rows = rows.filter(F.col(column) == value)
-    return rows.drop(*ADDED_BY_LAYOUT)
+def merged_until(spark: SparkSession, root: str) -> VersionedTable:
+    """(source_name, ingested_at): the newest ingest of each source that is in silver."""
+    return VersionedTable(spark, f"{root}/audit/silver_merged_until")
 
 
-def newest_batches(spark: SparkSession, registry: DataFrame, root: str) -> DataFrame:
-    """Newest ingest of every enabled source, cleaned and unioned by column name.
+def unmerged(bronze: DataFrame, mark: datetime | None) -> DataFrame:
+    """Rows of all ingests after the mark; whole days before it are not scanned."""
+    if mark is None:
+        return bronze
+    day = F.make_date(*(F.col(f"ingest_{part}").cast("int") for part in ("year", "month", "day")))
+    return bronze.filter((F.col("ingested_at") > at(str(mark))) & (day >= F.lit(mark.date())))
 
-    The state of the ingest job says when that was, so no history is scanned.
+
+def new_batches(spark: SparkSession, registry: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
+    """All that enabled sources brought since silver last took them in, one cleaned batch; and the marks after it.
+
+    Bronze holds what changed, so every ingest counts, not only the newest; one whose run was lost before it was
+    reported counts as well.
     """
-    state = VersionedTable(spark, f"{root}/audit/source_state").read()
-    newest = {} if state is None else {r.source_name: r.last_ingested_at for r in state.collect()}
-    feeds = []
+    done = merged_until(spark, root).read()
+    marks = {} if done is None else {r.source_name: r.ingested_at for r in done.collect()}
+    feeds, reached = [], dict(marks)
     for row in enabled_sources(registry).select("source_name").collect():
-        time = newest.get(row.source_name)
-        bronze = read_bronze(spark, f"{root}/bronze", row.source_name) if time else None
-        if bronze is not None:
-            feeds.append(clean_feed(snapshot_at(bronze, time)))
+        bronze = read_bronze(spark, f"{root}/bronze", row.source_name)
+        if bronze is None:
+            continue
+        rows = unmerged(bronze, marks.get(row.source_name))
+        newest = rows.agg(F.max("ingested_at")).first()[0]
+        reached[row.source_name] = newest or marks.get(row.source_name)
+        feeds.append(clean_feed(rows.drop(*ADDED_BY_LAYOUT)))
     if not feeds:
         raise FileNotFoundError("no bronze data for any enabled source")
-    return union_by_name(feeds)
+    return union_by_name(feeds), spark.createDataFrame(sorted(reached.items()), "source_name string, ingested_at timestamp_ntz")
 
 
 def _report_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("header", True).csv(path)
-    except AnalysisException:
-        return None
+    return existing(lambda: spark.read.option("header", True).csv(path))
 
 
 def _newest_run(report: DataFrame | None, run: str) -> DataFrame | None:
@@ -75,7 +79,8 @@ def run_silver(spark: SparkSession, registry: DataFrame, root: str, as_of: str,
     """
     run_time, run_year = at(as_of), int(as_of[:4])
     staged = f"{root}/staging/{run_id}"
-    conform(quality.require_columns(newest_batches(spark, registry, root))).write.mode("overwrite").parquet(f"{staged}/batch")
+    taken, marks = new_batches(spark, registry, root)
+    conform(quality.require_columns(taken)).write.mode("overwrite").parquet(f"{staged}/batch")
     batch = spark.read.parquet(f"{staged}/batch")
 
     table = silver_table(spark, root)
@@ -83,8 +88,10 @@ def run_silver(spark: SparkSession, registry: DataFrame, root: str, as_of: str,
     merged = upsert(current, quality.good_rows(batch).drop("raw_country", "raw_fuel"))
     merged.write.mode("overwrite").parquet(f"{staged}/merged")
     merged = spark.read.parquet(f"{staged}/merged")
-    silver = table.replace(event_period(quality.good_rows(merged), run_year))
-    quality.assert_unique(silver, "plant_id")
+    checked = event_period(quality.good_rows(merged), run_year)
+    quality.assert_unique(checked, "plant_id")
+    silver = table.replace(checked)
+    merged_until(spark, root).replace(marks)
 
     quarantine = f"{root}/quarantine/stg_power_plants_malformed"
     malformed = quality.malformed_rows(batch).unionByName(quality.malformed_rows(merged), allowMissingColumns=True)
@@ -104,18 +111,18 @@ def run_silver(spark: SparkSession, registry: DataFrame, root: str, as_of: str,
         counts, run_time, F.lit(",".join(sorted(names))), F.col("_silver"), F.col("_malformed"), drift=drift
     )
     audit = f"{root}/audit"
-    write_report(report, f"{audit}/silver_quality_report", mode="append")
+    write_report(report, f"{audit}/silver_quality_report", run_id)
     write_report(
-        quality.checklist_report(report, table.path, quarantine), f"{audit}/dq_checklist_report", mode="append"
+        quality.checklist_report(report, table.path, quarantine), f"{audit}/dq_checklist_report", run_id
     )
     write_report(
-        quality.transformation_report(counts, run_time, F.col("_silver")), f"{audit}/transformation_process_report", mode="append"
+        quality.transformation_report(counts, run_time, F.col("_silver")), f"{audit}/transformation_process_report", run_id
     )
     freshness = _newest_run(_report_or_none(spark, f"{audit}/freshness_report"), "run_timestamp")
     runs = _newest_run(_report_or_none(spark, f"{audit}/bronze_run_report"), "run")
     compliance = quality.compliance_report(report, freshness, runs, runs, quarantine)
-    write_report(compliance, f"{audit}/dq_mandatory_compliance_report", mode="append")
-    append_metrics(silver_metrics(spark, report, counts, run_time), f"{audit}/metrics")
+    write_report(compliance, f"{audit}/dq_mandatory_compliance_report", run_id)
+    append_metrics(silver_metrics(spark, report, counts, run_time), f"{audit}/metrics", f"silver-{run_id}")
     return silver
 
 

@@ -17,7 +17,7 @@ def plant_distribution_by_country(t: Tables, as_of: Column | None = None) -> Dat
 def plant_distribution_by_region(t: Tables, as_of: Column | None = None) -> DataFrame:
     rows = t["stg_power_plants"].filter(texts("continent", "sub_region") & values("capacity_mw"))
     return rows.groupBy("continent", "sub_region").agg(
-        F.count("*").cast("int").alias("plant_count"), total(F.col("capacity_mw")).alias("total_capacity_mw")
+        F.count("*").alias("plant_count"), total(F.col("capacity_mw")).alias("total_capacity_mw")
     )
 
 
@@ -88,7 +88,7 @@ def country_infrastructure_density(t: Tables, as_of: Column | None = None) -> Da
     rows = t["stg_power_plants"].filter(texts("country") & values("capacity_mw"))
     capacity = total(F.col("capacity_mw"))
     return rows.groupBy("country").agg(
-        F.count("*").cast("int").alias("plant_count"),
+        F.count("*").alias("plant_count"),
         capacity.alias("total_capacity_mw"),
         ratio(F.count("*").cast("double"), capacity / 1000.0).alias("plants_per_1000_mw"),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.constants import STAGE_METRICS
-from wattlake.functions.numbers import to_double, to_int
+from wattlake.functions.numbers import to_double, to_long
 from wattlake.functions.text import lacks_text
 from wattlake.functions.times import instant, parse_iso, whole_units_between
 from wattlake.plans.views.common import Tables, theoretical_gwh, utilisation
@@ -19,7 +19,7 @@ RANGE_COUNTS = ("invalid_capacity_rows", "invalid_commissioning_year_rows")
 
 
 def _whole(name: str) -> Column:
-    return F.coalesce(to_int(F.col(name)), F.lit(0))
+    return F.coalesce(to_long(F.col(name)), F.lit(0).cast("bigint"))
 
 
 def _added(names: Iterable[str]) -> Column:
@@ -217,7 +217,7 @@ def latency(t: Tables, as_of: Column | None = None) -> DataFrame:
 def duplicate_plants(t: Tables, as_of: Column | None = None) -> DataFrame:
     groups = t["stg_power_plants"].groupBy(F.coalesce(F.col("plant_id").cast("string"), F.lit("Unknown")).alias("plant_id"))
     newest = F.coalesce(F.max("ingested_at").cast("string"), F.lit("Unknown"))
-    return groups.agg(F.count("*").cast("int").alias("duplicate_count"), newest.alias("latest_ingested_at")).filter(
+    return groups.agg(F.count("*").alias("duplicate_count"), newest.alias("latest_ingested_at")).filter(
         F.col("duplicate_count") > 1
     )
 
@@ -295,5 +295,5 @@ def quarantine_null_summary(t: Tables, as_of: Column) -> DataFrame:
     return (
         quarantine_null_records(t, as_of)
         .groupBy("source_table", "quarantine_reason")
-        .agg(F.count("*").cast("int").alias("quarantined_records"))
+        .agg(F.count("*").alias("quarantined_records"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.constants import UNDERUTILISED_BELOW
-from wattlake.functions.numbers import exact_avg, exact_sum, to_double, whole_year_text
+from wattlake.functions.numbers import to_double, whole_year_text
 from wattlake.plans.views.common import Tables, texts, theoretical_gwh, utilisation, values
 
 
@@ -31,10 +31,10 @@ def largest_plants(t: Tables, as_of: Column | None = None) -> DataFrame:
 
 def _aging(rows: DataFrame, by: tuple[str, ...], as_of: Column) -> DataFrame:
     year = to_double(F.col("commissioning_year"))
-    older_than = lambda years: F.count_if(F.col("commissioning_year") < F.year(as_of) - years).cast("int")
+    older_than = lambda years: F.count_if(F.col("commissioning_year") < F.year(as_of) - years)
     return rows.groupBy(*by).agg(
-        F.count("*").cast("int").alias("plant_count"),
-        F.round(exact_avg(year)).cast("int").alias("avg_commissioning_year"),
+        F.count("*").alias("plant_count"),
+        F.round(F.avg(year)).cast("int").alias("avg_commissioning_year"),
         older_than(30).alias("aging_30_plus_count"),
         older_than(40).alias("aging_40_plus_count"),
     )
@@ -56,13 +56,13 @@ def capacity_utilization(t: Tables, as_of: Column | None = None) -> DataFrame:
         t["fact_power_generation"]
         .filter(values("year") & texts("country", "primary_fuel"))
         .groupBy("country", "primary_fuel", "year")
-        .agg(exact_sum(F.col("total_generation_gwh")).alias("total_generation_gwh"))
+        .agg(F.sum(F.col("total_generation_gwh")).alias("total_generation_gwh"))
     )
     installed = (
         t["fact_plant_capacity"]
         .filter(texts("country", "primary_fuel"))
         .groupBy("country", "primary_fuel")
-        .agg(exact_sum(F.col("total_capacity_mw")).alias("total_capacity_mw"))
+        .agg(F.sum(F.col("total_capacity_mw")).alias("total_capacity_mw"))
     )
     both = generated.join(installed, ["country", "primary_fuel"]).filter(values("total_generation_gwh", "total_capacity_mw"))
     return both.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.functions.numbers import exact_avg, ratio, total, whole_year_text
+from wattlake.functions.numbers import ratio, total, whole_year_text
 from wattlake.plans.views.common import (
     Tables,
     known,
@@ -73,7 +73,7 @@ def annual_generation_trends(t: Tables, as_of: Column | None = None) -> DataFram
 
 
 def kpi_summary(t: Tables, as_of: Column | None = None) -> DataFrame:
-    mean = t["dim_plant"].filter(values("capacity_mw")).select(F.coalesce(exact_avg(F.col("capacity_mw")), F.lit(0.0))).scalar()
+    mean = t["dim_plant"].filter(values("capacity_mw")).select(F.coalesce(F.avg(F.col("capacity_mw")), F.lit(0.0))).scalar()
     totals = t["fact_plant_capacity"].agg(
         total(F.col("total_capacity_mw")).alias("total_generation_capacity_mw"),
         total(F.col("renewable_capacity_mw")).alias("_renewable"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.functions.numbers import exact_avg, ratio, total, whole_year_text
+from wattlake.functions.numbers import ratio, total, whole_year_text
 from wattlake.plans.views.common import (
     Tables,
     other_part,
@@ -27,12 +27,12 @@ def _per_country(plants: DataFrame) -> DataFrame:
     return plants.filter(texts("country") & values("capacity_mw")).groupBy("country").agg(
         F.count("*").alias("plant_count"),
         total(F.col("capacity_mw")).alias("total_capacity_mw"),
-        exact_avg(F.col("capacity_mw")).alias("avg_capacity_mw"),
+        F.avg(F.col("capacity_mw")).alias("avg_capacity_mw"),
     )
 
 
 def country_distribution(t: Tables, as_of: Column | None = None) -> DataFrame:
-    return _per_country(t["dim_plant"]).withColumn("plant_count", F.col("plant_count").cast("int"))
+    return _per_country(t["dim_plant"])
 
 
 def regional_density(t: Tables, as_of: Column | None = None) -> DataFrame:

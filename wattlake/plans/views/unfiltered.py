@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.constants import STAGE_METRICS
-from wattlake.functions.numbers import exact_avg, exact_sum, ratio, to_double
+from wattlake.functions.numbers import ratio, to_double
 from wattlake.functions.times import parse_iso, whole_units_between
 from wattlake.plans.views.common import Tables, theoretical_gwh, utilisation, values, with_fuel_flag
 
@@ -14,7 +14,7 @@ GWH = "total_generation_gwh"
 
 
 def country_capacity(t: Tables, as_of: Column | None = None) -> DataFrame:
-    everything, renewable = exact_sum(F.col("total_capacity_mw")), exact_sum(F.col("renewable_capacity_mw"))
+    everything, renewable = F.sum(F.col("total_capacity_mw")), F.sum(F.col("renewable_capacity_mw"))
     return t["fact_plant_capacity"].groupBy("country").agg(
         everything.alias("total_capacity_mw"),
         renewable.alias("renewable_capacity_mw"),
@@ -23,11 +23,11 @@ def country_capacity(t: Tables, as_of: Column | None = None) -> DataFrame:
 
 
 def fuel_distribution(t: Tables, as_of: Column | None = None) -> DataFrame:
-    return t["fact_power_generation"].groupBy("country", "primary_fuel").agg(exact_sum(F.col(GWH)).alias(GWH))
+    return t["fact_power_generation"].groupBy("country", "primary_fuel").agg(F.sum(F.col(GWH)).alias(GWH))
 
 
 def _part(flag: Column) -> Column:
-    return exact_sum(F.when(flag, F.col(GWH)).otherwise(F.lit(0.0)))
+    return F.sum(F.when(flag, F.col(GWH)).otherwise(F.lit(0.0)))
 
 
 def renewable_trend(t: Tables, as_of: Column | None = None) -> DataFrame:
@@ -36,7 +36,7 @@ def renewable_trend(t: Tables, as_of: Column | None = None) -> DataFrame:
     return with_fuel_flag(t, t["fact_power_generation"]).groupBy("year", "country").agg(
         _part(flag).alias("renewable_generation_gwh"),
         _part(~flag).alias("non_renewable_generation_gwh"),
-        ratio(_part(flag), exact_sum(F.col(GWH))).alias("renewable_generation_ratio"),
+        ratio(_part(flag), F.sum(F.col(GWH))).alias("renewable_generation_ratio"),
     )
 
 
@@ -44,8 +44,8 @@ def renewable_adoption_trend(t: Tables, as_of: Column | None = None) -> DataFram
     flag = F.col("is_renewable")
     return with_fuel_flag(t, t["fact_power_generation"]).groupBy("year", "country").agg(
         _part(flag).alias("renewable_generation_gwh"),
-        exact_sum(F.col(GWH)).alias(GWH),
-        ratio(_part(flag), exact_sum(F.col(GWH))).alias("renewable_adoption_ratio"),
+        F.sum(F.col(GWH)).alias(GWH),
+        ratio(_part(flag), F.sum(F.col(GWH))).alias("renewable_adoption_ratio"),
     )
 
 
@@ -68,7 +68,7 @@ def aging_infrastructure(t: Tables, as_of: Column) -> DataFrame:
     older_than = lambda years: F.count_if(F.col("commissioning_year") < F.year(as_of) - years)
     return t["dim_plant"].groupBy("country", "primary_fuel").agg(
         F.count("*").alias("plant_count"),
-        exact_avg(F.col("commissioning_year")).alias("avg_commissioning_year"),
+        F.avg(F.col("commissioning_year")).alias("avg_commissioning_year"),
         older_than(30).alias("aging_30_plus_count"),
         older_than(40).alias("aging_40_plus_count"),
     )
@@ -76,12 +76,12 @@ def aging_infrastructure(t: Tables, as_of: Column) -> DataFrame:
 
 def capacity_utilization(t: Tables, as_of: Column | None = None) -> DataFrame:
     generated = (
-        t["fact_power_generation"].groupBy("country", "primary_fuel", "year").agg(exact_sum(F.col(GWH)).alias(GWH))
+        t["fact_power_generation"].groupBy("country", "primary_fuel", "year").agg(F.sum(F.col(GWH)).alias(GWH))
     )
     installed = (
         t["fact_plant_capacity"]
         .groupBy("country", "primary_fuel")
-        .agg(exact_sum(F.col("total_capacity_mw")).alias("total_capacity_mw"))
+        .agg(F.sum(F.col("total_capacity_mw")).alias("total_capacity_mw"))
     )
     capacity = F.col("total_capacity_mw")
     return generated.join(installed, ["country", "primary_fuel"]).select(
@@ -98,24 +98,24 @@ def capacity_utilization(t: Tables, as_of: Column | None = None) -> DataFrame:
 def plant_distribution(t: Tables, as_of: Column | None = None) -> DataFrame:
     return t["dim_plant"].groupBy("country").agg(
         F.count("*").alias("plant_count"),
-        exact_sum(F.col("capacity_mw")).alias("total_capacity_mw"),
-        exact_avg(F.col("capacity_mw")).alias("avg_capacity_mw"),
+        F.sum(F.col("capacity_mw")).alias("total_capacity_mw"),
+        F.avg(F.col("capacity_mw")).alias("avg_capacity_mw"),
     )
 
 
 def generation_density(t: Tables, as_of: Column | None = None) -> DataFrame:
     """Plants without facts stay. Totals as of a plant-by-fact join, from one row per plant and per pair."""
     plants = t["dim_plant"].groupBy("country", "primary_fuel", "plant_id").agg(
-        F.count("*").alias("_rows"), exact_sum(F.col("capacity_mw")).alias("_capacity")
+        F.count("*").alias("_rows"), F.sum(F.col("capacity_mw")).alias("_capacity")
     )
     facts = t["fact_power_generation"].groupBy("country", "primary_fuel").agg(
-        F.count("*").alias("_facts"), exact_sum(F.col(GWH)).alias("_generation")
+        F.count("*").alias("_facts"), F.sum(F.col(GWH)).alias("_generation")
     )
     count = F.count_distinct("plant_id")
-    generation = exact_sum(F.col("_generation") * F.col("_rows"))
+    generation = F.sum(F.col("_generation") * F.col("_rows"))
     return plants.join(facts, ["country", "primary_fuel"], "left").groupBy("country").agg(
         count.alias("plant_count"),
-        exact_sum(F.col("_capacity") * F.coalesce("_facts", F.lit(1))).alias("total_capacity_mw"),
+        F.sum(F.col("_capacity") * F.coalesce("_facts", F.lit(1))).alias("total_capacity_mw"),
         generation.alias(GWH),
         ratio(generation, count).alias("generation_per_plant_gwh"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,32 +55,61 @@ def read_directory(spark: SparkSession, path: str, file_format: str, **options)
     return reader.format(file_format).load(path)
 
 
-def first_file_of(files: DataFrame) -> DataFrame:
-    """Rows of the file that sorts first, for feeds that ship one file among others."""
-    first = files.select(F.min("_metadata.file_path")).scalar()
-    return files.filter(F.col("_metadata.file_path") == first)
-
-
-def read_mixed(spark: SparkSession, path: str, formats: tuple[str, ...] = ("parquet", "csv")) -> DataFrame:
-    """A folder holding several formats, each read by its suffix and unioned by name."""
-    frames = [read_directory(spark, path, f) for f in formats]
-    frames = [f for f in frames if f.columns]
-    if not frames:
+def existing(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` opens, or None where its path is not there. Any other error is one."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def first_file_of(files: DataFrame, read: Callable[[str], DataFrame]) -> DataFrame:
+    """The file that sorts first, for feeds that ship one file among others. Only that file is scanned."""
+    return read(min(files.inputFiles()))
+
+
+def _suffixes(spark: SparkSession, path: str) -> set[str]:
+    """Suffixes of the files at any depth below a folder, markers and hidden files aside."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    found = set()
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            found.add(name.rsplit(".", 1)[-1].lower() if "." in name else "")
+    return found
+
+
+def read_mixed(spark: SparkSession, path: str, formats: tuple[str, ...] = FORMATS) -> DataFrame:
+    """A folder holding one or several formats, each read by its suffix and unioned by name; others are an error."""
+    found = _suffixes(spark, path)
+    if other := sorted(found - set(formats)):
+        raise ValueError(f"no reader for {other} below {path}")
+    if not found:
         raise FileNotFoundError(f"no data below {path}")
+    frames = [read_directory(spark, path, f) for f in formats if f in found]
     result = frames[0]
-    for other in frames[1:]:
-        result = result.unionByName(other, allowMissingColumns=True)
+    for more in frames[1:]:
+        result = result.unionByName(more, allowMissingColumns=True)
     return result
 
 
 def read_or_empty(
     spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet", **options
 ) -> DataFrame:
-    """The data set, or no rows of the same schema when it does not exist or cannot be opened."""
-    try:
-        return spark.read.schema(schema).options(**options).format(file_format).load(path)
-    except AnalysisException:
+    """The data set, or no rows of the same schema when it does not exist or holds no readable file.
+
+    Text formats read a bad file as rows of nulls. A Parquet file's footer tells, so that is opened here; a folder of
+    which some files are bad gives the rows of the others.
+    """
+    rows = existing(lambda: spark.read.schema(schema).options(**options).format(file_format).load(path))
+    if rows is None:
         return spark.createDataFrame([], schema)
+    if file_format != "parquet":
+        return rows
+    return spark.read.schema(schema).options(**{"ignoreCorruptFiles": True, **options}).parquet(path)
 
 
 def read_report_csv(spark: SparkSession, path: str, columns: list[str], header: bool) -> DataFrame:
@@ -93,15 +122,6 @@ def read_report_csv(spark: SparkSession, path: str, columns: list[str], header:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one task per core for costly row work on a table of few, unsplittable files.
-
-    A table with more scan tasks than cores, which is any large one, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 # --- payload texts -----------------------------------------------------------
 
 

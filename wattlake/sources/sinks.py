@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.constants import METRIC_NAMES, METRIC_PREFIXES
+from wattlake.sources.readers import existing
 
-PARTITIONS = ("source_name", "ingest_year", "ingest_month", "ingest_day")
+PARTITIONS = ("source_name", "ingest_year", "ingest_month", "ingest_day", "ingest_run")
 
 
 def append_bronze(rows: DataFrame, path: str, ingested_at: Column | None = None) -> None:
-    """Append a batch below its source and ingest date."""
+    """Write a batch below its source, ingest date and ingest time; a repeated run takes the place of its first try."""
     time = F.col("ingested_at") if ingested_at is None else ingested_at
     (
         rows.withColumn("ingest_year", F.date_format(time, "yyyy"))
         .withColumn("ingest_month", F.date_format(time, "MM"))
         .withColumn("ingest_day", F.date_format(time, "dd"))
-        .write.mode("append")
+        .withColumn("ingest_run", F.date_format(time, "HHmmssSSSSSS"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
         .parquet(path)
     )
@@ -41,9 +44,8 @@ class VersionedTable:
         self.path = path.rstrip("/")
 
     def _newest(self, test: Column | None = None) -> int | None:
-        try:
-            log = self.spark.read.schema(self.LOG_SCHEMA).json(f"{self.path}/log")
-        except AnalysisException:
+        log = existing(lambda: self.spark.read.schema(self.LOG_SCHEMA).json(f"{self.path}/log"))
+        if log is None:
             return None
         return (log if test is None else log.filter(test)).agg(F.max("version")).first()[0]
 
@@ -74,16 +76,22 @@ class VersionedTable:
 
 
 def append_quarantine(rows: DataFrame, path: str, run_id: str) -> None:
-    rows.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+    """Keep the rows of a run; the same run again replaces them."""
+    rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
-def write_report(report: DataFrame, path: str, mode: str = "append") -> None:
-    """CSV with a header. Nested values are written as JSON text."""
+def run_key(text: str) -> str:
+    """A run's name as a folder name."""
+    return re.sub("[^A-Za-z0-9_.-]+", "-", text)
+
+
+def write_report(report: DataFrame, path: str, run: str) -> None:
+    """CSV with a header, one folder per run, which the same run replaces. Nested values are written as JSON text."""
     flat = [
         F.to_json(c).alias(c) if t.startswith(("array", "map", "struct")) else F.col(c)
         for c, t in report.dtypes
     ]
-    report.select(*flat).write.mode(mode).option("header", True).csv(path)
+    report.select(*flat).write.mode("overwrite").option("header", True).csv(f"{path}/run={run_key(run)}")
 
 
 def write_document(document: DataFrame, path: str) -> None:
@@ -111,8 +119,8 @@ def metric_rows(spark: SparkSession, values: Mapping[str, Column | float], as_of
     )
 
 
-def append_metrics(metrics: DataFrame, path: str) -> None:
-    """Append metric rows; a name or value outside the policy fails the job."""
+def append_metrics(metrics: DataFrame, path: str, run: str) -> None:
+    """Keep the metric rows of a run, replacing what it wrote before; a name or value outside the policy fails the job."""
     checked = metrics.select(
         "metric_timestamp",
         "metric_name",
@@ -120,7 +128,7 @@ def append_metrics(metrics: DataFrame, path: str) -> None:
         .otherwise(F.raise_error(F.concat(F.lit("metric not allowed: "), F.coalesce("metric_name", F.lit("null")))))
         .alias("metric_value"),
     )
-    checked.write.mode("append").parquet(path)
+    checked.write.mode("overwrite").parquet(f"{path}/run={run_key(run)}")
 
 
 def merge_state(old: DataFrame, new: DataFrame, key: str = "source_name") -> DataFrame:

@@ -6,13 +6,13 @@ batch that is repeated after a failure writes to the place of its first try.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wattlake.operators import alerts, ingest
 from wattlake.operators.upsert import upsert
+from wattlake.sources.readers import existing
 from wattlake.sources.sinks import VersionedTable
 
 
@@ -37,22 +37,22 @@ def ingest_stream(
 ) -> None:
     """Append every batch to bronze, flagging rows older than what came before.
 
-    Late rows are kept. A streaming watermark would drop them, so the mark is
-    the newest event time of the earlier batches in bronze itself. Batch numbers
+    Late rows are kept. A streaming watermark would drop them, so the newest
+    event time of every batch is kept beside bronze; no batch scans earlier ones. Batch numbers
     belong to the checkpoint: a new checkpoint needs a new bronze folder.
     """
     spark = rows.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        mark = None
-        try:
-            earlier = spark.read.parquet(bronze).filter(F.col("batch_id") < batch_id)
-            mark = earlier.select(F.max("event_time")).scalar()
-        except AnalysisException:
-            pass  # the first batch
+        marks = existing(lambda: spark.read.schema("newest timestamp_ntz").json(f"{bronze}/_marks"))
+        known = None if marks is None else marks.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+        mark = None if known is None else F.lit(known)
         dated = ingest.annotate_events(batch, event_time_column, mark)
         provided = ingest.add_provenance(dated, source_name, F.current_timestamp().cast("timestamp_ntz"))
-        provided.write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
+        folder = f"{bronze}/batch_id={batch_id}"
+        provided.write.mode("overwrite").parquet(folder)
+        newest = spark.read.schema("event_time timestamp_ntz").parquet(folder).agg(F.max("event_time").alias("newest"))
+        newest.write.mode("overwrite").json(f"{bronze}/_marks/batch_id={batch_id}")
 
     run_available(rows.writeStream.foreachBatch(write), checkpoint)
 
