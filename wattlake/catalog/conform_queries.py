@@ -255,13 +255,13 @@ def upsert_nulls_win(spark, sf_dir):
 
 @query("ups_03_clean_current_table", with_ctes(
     f"""SELECT plant_id, {no_placeholder('country')} AS country, {no_placeholder('primary_fuel')} AS primary_fuel,
-               capacity_mw, event_time FROM plants_raw
-        WHERE event_time IS NOT NULL""", "plants_raw"))
+               CASE WHEN plant_id LIKE '%7' THEN capacity_mw + 1 ELSE capacity_mw END AS capacity_mw, event_time
+        FROM plants_raw""", "plants_raw"))
 def clean_current_table(spark, sf_dir):
-    """Placeholders an old table still holds are gone after a merge, here of an empty batch."""
-    old = bindings.plants_raw(spark, sf_dir).filter(F.col("event_time").isNotNull()).select(
-        "plant_id", "country", "primary_fuel", "capacity_mw", "event_time")
-    return upsert.upsert(old, old.limit(0))
+    """Placeholders an old table still holds are gone after a merge, from rows in the batch and from all others."""
+    old = bindings.plants_raw(spark, sf_dir).select("plant_id", "country", "primary_fuel", "capacity_mw", "event_time")
+    new = conform.null_placeholders(old.filter(F.col("plant_id").endswith("7"))).withColumn("capacity_mw", F.col("capacity_mw") + 1)
+    return upsert.upsert(old, new)
 
 
 @query("ups_04_quarantine_union", with_ctes(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from wattlake.constants import STAGE_METRICS
 from wattlake.functions.numbers import to_double, to_long
 from wattlake.functions.text import lacks_text
-from wattlake.functions.times import instant, parse_iso, whole_units_between
+from wattlake.functions.times import parse_iso, whole_units_between
 from wattlake.plans.views.common import Tables, theoretical_gwh, utilisation
 
 NULL_COUNTS = ("null_plant_name", "null_country", "null_primary_fuel", "null_capacity_mw")
@@ -123,21 +123,15 @@ def _stage_log(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _next_of_each_stage(log: DataFrame, slices: int) -> DataFrame:
+def _next_of_each_stage(log: DataFrame) -> DataFrame:
     """For every log row the next time of each later stage, at or after it (strictly after for bronze).
 
     A running minimum over the whole log would be one task. The log is cut into
-    slices of about equal row count by time quantiles; each slice runs its own
-    window, and what follows a slice comes from a window over one row per slice.
-    Rows are distinct in (ts, stage), so at most four share a time and the
-    slices stay even however the times are spread.
+    the hours of the calendar; each hour runs its own window, and what follows an
+    hour comes from a window over one row per hour that has rows. Rows are
+    distinct in (ts, stage).
     """
-    log = log.withColumn("_t", F.unix_micros(instant(F.col("ts"))))
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    cuts = log.select(F.percentile_approx("_t", shares, 100 * slices)).scalar()
-    log = log.withColumn("_cuts", cuts).select(
-        "ts", "stage", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_t"))), F.lit(0)).alias("_slice")
-    )
+    log = log.withColumn("_slice", F.date_trunc("hour", "ts"))
 
     def of(stage: str) -> Column:
         return F.when(F.col("stage") == stage, F.col("ts"))
@@ -154,8 +148,7 @@ def _next_of_each_stage(log: DataFrame, slices: int) -> DataFrame:
     order = Window.partitionBy("_slice").orderBy(F.col("ts").desc(), depth.desc())
     here = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice, and there are as many slices as the caller asks for.
-    joined = log.join(F.broadcast(carried), "_slice")
+    joined = log.join(carried, "_slice")
     nexts = [
         F.coalesce(F.min(of(s)).over(before if s == "bronze" else here), F.col(f"_carry_{s}")).alias(f"next_{s}")
         for s in stages
@@ -163,14 +156,13 @@ def _next_of_each_stage(log: DataFrame, slices: int) -> DataFrame:
     return joined.select("ts", "stage", *nexts)
 
 
-def pipeline_runs(metrics: DataFrame, slices: int | None = None) -> DataFrame:
+def pipeline_runs(metrics: DataFrame) -> DataFrame:
     """One row per bronze time: the first silver, gold and chart times that follow before the next run.
 
     A stage time lies between one bronze time and the next, so each belongs to
     one run and the two look-ups by time meet one row on either side.
     """
-    slices = slices or int(metrics.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    log = _next_of_each_stage(_stage_log(metrics), slices)
+    log = _next_of_each_stage(_stage_log(metrics))
 
     def within_run(time: str) -> Column:
         inside = F.col("next_bronze_ts").isNull() | (F.col(time) < F.col("next_bronze_ts"))
