@@ -52,7 +52,13 @@ def test_generation_density_equals_the_fan_out_join(spark, small):
         F.count_distinct("plant_id").alias("plant_count"), total(F.col("capacity_mw")).alias("total_capacity_mw"),
         total(F.col("total_generation_gwh")).alias("total_generation_gwh"))
     ours = geo.generation_density(t).drop("generation_per_plant_gwh")
-    assert ours.exceptAll(direct).count() == 0 and direct.exceptAll(ours).count() == 0
+    want = {r.country: r for r in direct.collect()}
+    got = {r.country: r for r in ours.collect()}
+    assert set(got) == set(want)
+    for country, r in got.items():
+        assert r.plant_count == want[country].plant_count
+        assert r.total_capacity_mw == pytest.approx(want[country].total_capacity_mw, rel=1e-12)
+        assert r.total_generation_gwh == pytest.approx(want[country].total_generation_gwh, rel=1e-12)
 
 
 def test_regional_density_falls_back_only_when_no_region_is_known(spark):
