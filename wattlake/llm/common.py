@@ -14,7 +14,13 @@ from wattlake.session import new_folder
 SLICE = 256
 
 
+#: Rows in an Arrow batch. The default of 10,000 long texts is held several times over by an executor and its worker.
+ARROW_ROWS = 1024
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table, in a session that hands Python small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
