@@ -9,6 +9,9 @@ from wattlake.catalog.registry import query
 from wattlake.catalog.sql import (
     _CONTINENTS,
     _SUB_REGIONS,
+    COUNTRY_ALIASES,
+    FUEL_ALIASES,
+    RENEWABLE_FUELS,
     RUN,
     canonical,
     case_of,
@@ -19,7 +22,6 @@ from wattlake.catalog.sql import (
     title,
     with_ctes,
 )
-from wattlake.constants import COUNTRY_ALIASES, FUEL_ALIASES, RENEWABLE_FUELS
 from wattlake.functions.hashing import owner_mask, owner_prefix_mask
 from wattlake.functions.text import clean_text, title_case
 from wattlake.operators import conform, upsert

@@ -2,10 +2,48 @@
 
 from __future__ import annotations
 
-from wattlake.constants import COUNTRY_ALIASES, COUNTRY_REGIONS, FUEL_ALIASES, PLACEHOLDERS, RENEWABLE_FUELS
-from wattlake.functions.text import BLANK_CHARS, BLANKS, WORD_OR_GAP
 from wattlake.sources.bindings import AGE_AS_OF, AS_OF, METRIC_OF_EVENT
 
+# Fixed values, stated here once more so that the SQL does not share a mistake with the engine.
+COUNTRY_ALIASES = {
+    "usa": "United States",
+    "us": "United States",
+    "u.s.": "United States",
+    "uk": "United Kingdom",
+    "uae": "United Arab Emirates",
+}
+FUEL_ALIASES = {
+    "coal": "Coal",
+    "lignite": "Coal",
+    "natural gas": "Gas",
+    "gas": "Gas",
+    "hydro": "Hydro",
+    "hydroelectric": "Hydro",
+    "solar": "Solar",
+    "wind": "Wind",
+    "nuclear": "Nuclear",
+    "oil": "Oil",
+    "diesel": "Oil",
+    "biomass": "Biomass",
+    "geothermal": "Geothermal",
+}
+RENEWABLE_FUELS = ("Hydro", "Solar", "Wind", "Biomass", "Geothermal")
+PLACEHOLDERS = ("", "?", "unknown", "unk", "na", "n/a", "null", "none", "0", "-", "--")
+COUNTRY_REGIONS = {
+    "United States": ("North America", "Northern America"),
+    "United Kingdom": ("Europe", "Northern Europe"),
+    "India": ("Asia", "Southern Asia"),
+    "Germany": ("Europe", "Western Europe"),
+    "France": ("Europe", "Western Europe"),
+    "Brazil": ("South America", "South America"),
+    "Canada": ("North America", "Northern America"),
+    "China": ("Asia", "Eastern Asia"),
+    "Australia": ("Oceania", "Australia and New Zealand"),
+}
+BLANK_CHARS = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+BLANKS = r"[\t\n\v\f\r\x1c-\x1f\x85\p{Z}]+"
+WORD_OR_GAP = r"(\p{L}+|\P{L}+)"
+
 RUN = f"TIMESTAMP '{AS_OF}'"
 AGE = f"TIMESTAMP '{AGE_AS_OF}'"
 
