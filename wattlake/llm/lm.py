@@ -1,9 +1,11 @@
 """Language-model scores by stupid backoff, computed relationally.
 
-The count of an n-gram is a sum over the whole corpus. Documents are taken in shards of ``SHARD_ROWS`` rows; each shard's
-distinct n-grams are exploded to rows (key, shard, n), the rows are partitioned by the key's hash and summed, and every
-total of at least ``MIN_COUNT`` returns to the shards that asked, where it is joined with the n-grams of each document and
-the logarithms are summed. A frequent n-gram is one row per shard, not per occurrence, so no key is hot.
+The count of an n-gram is a sum over the whole corpus. Documents are taken in shards of ``SHARD_ROWS`` rows. Each shard's
+distinct n-grams, with their counts, are dealt to buckets by the leading bits of their hashes: one row (bucket, shard,
+keys, counts) for each pair. A bucket holds its part of the count table, about ``BUCKET_KEYS`` keys; it sums the counts
+and sends every shard the totals of its keys, in their order. There they are joined with the shard's documents, the
+n-grams of each document are looked up and the logarithms are summed. A frequent n-gram is one key per shard, not one
+per occurrence, so no key is hot, and buckets are even.
 
     S(w | u) = c(u w) / c(u)          where c(u w) >= MIN_COUNT
              = BACKOFF * c(w) / N     otherwise
@@ -19,16 +21,17 @@ scored document itself, is no evidence, hence the least count of 2. N-grams are
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from wattlake.llm.common import rows, text_of, written
+from wattlake.llm.common import batches_of, rows, text_of, written
 
 ORDER = 2
 BACKOFF = 0.4
@@ -38,6 +41,9 @@ SHARD_ROWS = 8192
 #: N-grams held before a shard's counts are passed on; a shard may pass on several times.
 HELD = 8_000_000
 CACHED_WORDS = 400_000
+#: Distinct keys a shard is reckoned to have, and those a bucket shall have, of all shards together.
+SHARD_KEYS = 4_000_000
+BUCKET_KEYS = 2_000_000
 #: The key whose count is the number of words in the corpus.
 WORDS = 0
 
@@ -66,7 +72,7 @@ def keys_of(text: str, order: int, known: _Hashes) -> list[np.ndarray]:
         total ^= total >> np.uint64(31)
         total *= np.uint64(0x9E3779B97F4A7C15)
         total ^= total >> np.uint64(29)
-        made.append(total.view(np.int64))
+        made.append(total)
     return made
 
 
@@ -81,47 +87,97 @@ def _sharded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return placed.select(shard.alias("shard"), F.col(id_col).cast("long").alias("doc_id"), text_of(placed[text_col]).alias("text"))
 
 
-def _asked(docs: DataFrame, order: int) -> DataFrame:
-    """(key, shard, n): how often a shard has each n-gram."""
-    schema = pa.schema([("key", pa.int64()), ("shard", pa.int64()), ("n", pa.int32())])
+def _asked(docs: DataFrame, order: int, bits: int) -> DataFrame:
+    """(bucket, shard, keys, counts): how often a shard has its n-grams, in the order of their unsigned keys."""
+    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
 
-    def counted(shard: int, held: list[np.ndarray], words: int):
+    def counted(shard: int, held: list[np.ndarray], words: int) -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        keys, counts = np.append(keys, WORDS), np.append(counts, words)
-        for at in range(0, len(keys), 1 << 16):
-            n = len(keys[at:at + (1 << 16)])
-            yield pa.RecordBatch.from_arrays([
-                pa.array(keys[at:at + n]), pa.array(np.full(n, shard)), pa.array(counts[at:at + n].astype(np.int32))], schema=schema)
+        keys, counts = _with_words(keys, counts, words)
+        bucket = (keys >> np.uint64(64 - bits)).astype(np.int32)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        offsets = pa.array(np.append(starts, len(keys)).astype(np.int32))
+        return pa.RecordBatch.from_arrays([
+            pa.array(bucket[starts]), pa.array(np.full(len(starts), shard)),
+            pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32))),
+        ], schema=schema)
 
     def run(batches):
         known, current, held, n, words = _Hashes(), None, [], 0, 0
         for shard, text in rows(batches, "shard", "text"):
             if held and (shard != current or n >= HELD):
-                yield from counted(current, held, words)
+                yield counted(current, held, words)
                 held, n, words = [], 0, 0
             current = shard
             keys = keys_of(text, order, known)
             held += keys
             n, words = n + sum(map(len, keys)), words + len(keys[0])
         if held:
-            yield from counted(current, held, words)
+            yield counted(current, held, words)
 
-    return docs.select("shard", "text").mapInArrow(run, "key long, shard long, n int")
+    return docs.select("shard", "text").mapInArrow(run, "bucket int, shard long, keys array<long>, counts array<int>")
+
+
+def _with_words(keys: np.ndarray, counts: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys with that of the number of words in front."""
+    if len(keys) and keys[0] == WORDS:
+        raise ValueError("an n-gram has the key that is kept for the number of words")
+    return np.append(np.uint64(WORDS), keys), np.append(words, counts)
+
+
+def _answered(asked: DataFrame) -> DataFrame:
+    """(shard, bucket, n, totals): corpus counts of the keys a shard has in a bucket, in the order of the keys.
+
+    ``totals`` are compressed 64-bit numbers; most are small.
+    """
+    schema = pa.schema([("shard", pa.int64()), ("bucket", pa.int32()), ("n", pa.int32()), ("totals", pa.binary())])
+
+    def totals(bucket: int, held: dict[int, list[tuple[np.ndarray, np.ndarray]]]):
+        every = np.concatenate([keys for parts in held.values() for keys, _ in parts])
+        counts = np.concatenate([counts for parts in held.values() for _, counts in parts])
+        distinct, place = np.unique(every, return_inverse=True)
+        summed = np.zeros(len(distinct), np.int64)
+        np.add.at(summed, place, counts)
+        for shard, parts in held.items():
+            own = parts[0][0] if len(parts) == 1 else np.unique(np.concatenate([keys for keys, _ in parts]))
+            found = summed[np.searchsorted(distinct, own)]
+            yield shard, bucket, len(found), pa.compress(found.tobytes(), codec="zstd", asbytes=True)
+
+    def run(batches):
+        def made():
+            current, held = None, {}
+            for batch in batches:
+                buckets, shards = batch.column("bucket").to_pylist(), batch.column("shard").to_pylist()
+                for at, (bucket, shard) in enumerate(zip(buckets, shards, strict=True)):
+                    if bucket != current and held:
+                        yield from totals(current, held)
+                        held = {}
+                    current = bucket
+                    keys = batch.column("keys")[at].values.to_numpy().view(np.uint64)
+                    held.setdefault(shard, []).append((keys.copy(), batch.column("counts")[at].values.to_numpy().copy()))
+            if held:
+                yield from totals(current, held)
+
+        return batches_of(made(), schema, 64)
+
+    dealt = asked.repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "shard long, bucket int, n int, totals binary")
 
 
 def _scores(table: pa.Table, counts: pa.Table, order: int) -> Iterator[tuple]:
-    keys, place = np.unique(counts["key"].to_numpy(), return_index=True)
-    totals = counts["total"].to_numpy()[place].astype(np.float64)
     known = _Hashes()
+    held = [k for _, text in rows(table.to_batches(), "doc_id", "text") for k in keys_of(text, order, known)]
+    keys, _ = _with_words(np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64), np.zeros(0, np.int64), 0)
+    answers = sorted(zip(counts["bucket"].to_pylist(), counts["n"].to_pylist(), counts["totals"].to_pylist(), strict=True))
+    totals = np.concatenate([
+        np.frombuffer(pa.decompress(t, decompressed_size=8 * n, codec="zstd", asbytes=True), np.int64) for _, n, t in answers]).astype(np.float64)
+    if len(totals) != len(keys):
+        raise ValueError("a shard's n-grams changed between two scans")
 
     def total_of(wanted: np.ndarray) -> np.ndarray:
-        """Corpus counts; what did not come back occurs once."""
-        if not len(keys):
-            return np.ones(len(wanted))
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        return np.where(keys[at] == wanted, totals[at], 1.0)
+        return totals[np.searchsorted(keys, wanted)]
 
-    corpus = total_of(np.array([WORDS]))[0]
+    corpus = totals[0]
     for doc_id, text in rows(table.to_batches(), "doc_id", "text"):
         grams = [total_of(k) for k in keys_of(text, order, known)]
         words = len(grams[0])
@@ -142,9 +198,9 @@ def _scores(table: pa.Table, counts: pa.Table, order: int) -> Iterator[tuple]:
 def score(docs: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, mean_log_score) of every row, by the n-grams of all rows."""
     placed = _sharded(docs, id_col, text_col)
-    asked = _asked(placed, order)
-    total = F.sum(F.col("n").cast("long")).over(Window.partitionBy("key"))
-    answers = asked.select("key", "shard", total.alias("total")).where(F.col("total") >= MIN_COUNT)
+    shards = placed.select("shard").distinct().count()
+    bits = max(1, math.ceil(math.log2(max(1, shards * SHARD_KEYS / BUCKET_KEYS))))
+    answers = _answered(_asked(placed, order, bits))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("mean_log_score", pa.float64())])
 
     def join(texts: pa.Table, counts: pa.Table) -> pa.Table:
