@@ -1,8 +1,9 @@
 """Exact top-k search: BM25 over a sharded inverted index with block-max WAND pruning.
 
 The index is a table of shards: some ``SHARD_DOCS`` documents each, with the postings of their terms. Statistics are
-global: document frequencies come from all shards, by aggregation. Queries go in blocks of at most ``QUERY_BLOCK``, each
-block's weighted terms are sent to the tasks that read the shards, and every task keeps the best k of what it reads.
+global: document frequencies come from all shards, by aggregation. Queries go in blocks of about ``QUERY_BLOCK`` and
+``QUERY_TERMS`` terms at most; a block's weighted terms are sent to the tasks that read the shards, and every task keeps
+the best k of what it reads.
 
 Documents of a shard are ordered so that neighbours are alike (commonest term, then length) and form blocks of
 ``BLOCK``. For each term the largest impact in a block is known; their weighted sum bounds every score in the block, and
@@ -35,6 +36,8 @@ SHARD_DOCS = 2048
 SHARD_WORDS = 2_000_000
 BLOCK = 64
 QUERY_BLOCK = 4096
+#: Distinct terms of all queries of a block together; both bounds hold on average over blocks dealt by hash.
+QUERY_TERMS = 4_000_000
 #: Queries of a block that are scored together.
 TOGETHER = 64
 #: Terms in at least this share of a shard's documents are multiplied as a dense matrix.
@@ -245,7 +248,7 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     weighted = terms.join(frequencies, "term").select(
         "query_id", "term", (F.col("n") * F.log(1 + (F.lit(float(total)) - F.col("df") + 0.5) / (F.col("df") + 0.5))).alias("weight"))
     weighted = written(weighted, "query-terms")
-    n_blocks = -(-n_queries // QUERY_BLOCK)
+    n_blocks = max(-(-n_queries // QUERY_BLOCK), -(-weighted.count() // QUERY_TERMS), 1)
     found = [
         _search(index, weighted.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == b), words / total, k) for b in range(n_blocks)
     ]
