@@ -28,7 +28,7 @@ from wattlake.llm.common import batches_of, id_and_text, rows
 LABELLED_ROWS = 3000
 BUCKETS = 1 << 17
 DIMENSIONS = 8
-GRAMS = (2, 3, 4)
+GRAMS = (3, 4)
 #: Batches learnt from, however many rows there are.
 STEPS = 2000
 BATCH = 16
@@ -42,8 +42,8 @@ _END, _AGAIN = zlib.crc32(b"\x00end") % BUCKETS, zlib.crc32(b"\x00again") % BUCK
 def features(word: str) -> list[int]:
     """Buckets of a word and its character n-grams."""
     spelt = f"<{word}>"
-    grams = {spelt[k:k + n] for n in GRAMS for k in range(len(spelt) - n + 1)}
-    return [zlib.crc32(g.encode()) % BUCKETS for g in (spelt, *sorted(grams - {spelt}))]
+    grams = [spelt[k:k + n] for n in GRAMS for k in range(len(spelt) - n + 1)]
+    return [zlib.crc32(g.encode()) % BUCKETS for g in (spelt, *grams)]
 
 
 def bag(text: str) -> tuple[Counter, int]:
