@@ -65,6 +65,7 @@ class PrefixBpe:
         self._split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self._words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
         self._compatible: dict[tuple[int, int], bool] = {}
+        self._word_ids: dict[str, list[int]] = {}
         self._known: dict[str, tuple[int, str, str]] = {}
 
     def _spelt(self, token: str) -> str:
@@ -116,6 +117,15 @@ class PrefixBpe:
             ids.append(token)
         return ids[::-1]
 
+    def _word(self, word: str) -> list[int]:
+        spelt = "".join([self._names[b] for b in word.encode()])
+        ids = self.word_ids(spelt[:-1] + chr(ord(spelt[-1]) + 0x1000))
+        if len(word) <= CACHED_CHARS:
+            if len(self._word_ids) >= CACHED_WORDS:
+                self._word_ids.clear()
+            self._word_ids[word] = ids
+        return ids
+
     def _chunk_ids(self, chunk: str) -> list[int]:
         """Ids of a stretch without spaces."""
         ids = []
@@ -126,8 +136,7 @@ class PrefixBpe:
             part = unicodedata.normalize("NFC", part)
             part = part.lower() if part.isascii() else "".join(map(str.lower, part))
             for word in self._words.findall(part):
-                spelt = "".join([self._names[b] for b in word.encode()])
-                ids += self.word_ids(spelt[:-1] + chr(ord(spelt[-1]) + 0x1000))
+                ids += self._word_ids.get(word) or self._word(word)
         return ids
 
     def _chunk(self, chunk: str) -> tuple[int, str, str]:
