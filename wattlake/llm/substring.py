@@ -99,8 +99,8 @@ def _distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def _anchor_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """(key, t1, t2, again): each text's anchors, once; again: the text has it more than once."""
-    schema = pa.schema([("key", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("again", pa.bool_())])
+    """(key, t1, t2, n): how often each text has each of its anchors."""
+    schema = pa.schema([("key", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("n", pa.int32())])
 
     def run(batches):
         known = WordHashes()
@@ -111,10 +111,11 @@ def _anchor_rows(texts: DataFrame, window: int, gram: int) -> DataFrame:
             grams, found = anchors(known.of(words), window, gram)
             keys, counts = np.unique(grams[np.unique(found)], return_counts=True)
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), t1)), pa.array(np.full(len(keys), t2)), pa.array(counts > 1),
+                pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), t1)), pa.array(np.full(len(keys), t2)),
+                pa.array(counts.astype(np.int32)),
             ], schema=schema)
 
-    return texts.select("t1", "t2", "text").mapInArrow(_joined(run, schema), "key long, t1 long, t2 long, again boolean")
+    return texts.select("t1", "t2", "text").mapInArrow(_joined(run, schema), "key long, t1 long, t2 long, n int")
 
 
 def _joined(run, schema: pa.Schema, size: int = 8192):
@@ -153,12 +154,14 @@ def _occurrences(texts: DataFrame, wanted: DataFrame, window: int, gram: int) ->
             hit = np.flatnonzero(keys[place] == own)
             if not len(hit):
                 continue
+            of = parts[place[hit]]
+            dealt = np.where(of > 1, (at[hit] * 7919 + t1 % 1_000_003) % of, -1).astype(np.int32)
             made = _rolled(hashes, window, _WINDOW_WEIGHTS).view(np.int64)
             counts = served[hit]
             ends = np.cumsum(counts)
             picked = np.repeat(first[hit] - (ends - counts), counts) + np.arange(ends[-1])
             yield pa.RecordBatch.from_arrays([
-                pa.array(own[hit]), pa.array(parts[place[hit]]), pa.array(np.full(len(hit), t1)), pa.array(np.full(len(hit), t2)),
+                pa.array(own[hit]), pa.array(dealt), pa.array(np.full(len(hit), t1)), pa.array(np.full(len(hit), t2)),
                 pa.array(at[hit].astype(np.int32)), pa.array(first[hit].astype(np.int32)),
                 pa.ListArray.from_arrays(np.concatenate(([0], ends)).astype(np.int32), pa.array(made[picked])),
             ], schema=schema)
@@ -223,14 +226,12 @@ def _spans(texts: DataFrame, window: int, gram: int, part: int) -> DataFrame:
     """(t1, t2, starts, counts): runs of windows that start elsewhere too."""
     found = written(_anchor_rows(texts, window, gram), "anchors")
     repeated = found.groupBy("key").agg(
-        F.count("*").alias("n"), F.max("again").alias("again"), F.min("t1").alias("a1"), F.max("t1").alias("b1"),
+        F.sum("n").alias("n"), F.max("n").alias("most"), F.min("t1").alias("a1"), F.max("t1").alias("b1"),
         F.min("t2").alias("a2"), F.max("t2").alias("b2"),
-    ).where("again OR a1 <> b1 OR a2 <> b2").select("key", "n")
-    parts = F.ceil(F.col("n") / part)
-    dealt = F.when(parts > 1, F.pmod(F.col("t1"), parts)).otherwise(-1).cast("int")
-    wanted = found.join(repeated, "key").select("t1", "t2", F.struct("key", dealt.alias("part")).alias("a"))
+    ).where("most > 1 OR a1 <> b1 OR a2 <> b2").select("key", F.ceil(F.col("n") / part).cast("int").alias("parts"))
+    wanted = found.join(repeated, "key").select("t1", "t2", F.struct("key", "parts").alias("a"))
     wanted = wanted.groupBy("t1", "t2").agg(F.collect_list("a").alias("a")).select(
-        "t1", "t2", F.col("a.key").alias("keys"), F.col("a.part").alias("parts"))
+        "t1", "t2", F.col("a.key").alias("keys"), F.col("a.parts").alias("parts"))
     parsed = written(_parsed(_occurrences(texts, wanted, window, gram)), "factors")
     boundary = parsed.where("n = 0")
     elsewhere = boundary.groupBy("key", "at", "window").agg(F.count("*").alias("met")).where("met > 1")
