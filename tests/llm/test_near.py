@@ -5,7 +5,7 @@ import random
 import corpus_pipeline as pipeline
 import pytest
 
-from wattlake.llm import near
+from wattlake.llm import near, simhash
 
 
 def plain_shingles(text, width=5):
@@ -56,3 +56,19 @@ def test_components_against_all_pairs(spark, table, small, small_group):
                 root = {k: low if v == high else v for k, v in root.items()}
     got = {r.node: r.root for r in near.linked(table(rows), small=small_group).collect()}
     assert got == {k: v for k, v in root.items() if k != v}
+
+
+def test_stage_keeps_texts_that_only_share_a_fingerprint(spark, table, small):
+    """One shingle that makes up over half of a text sets its whole fingerprint."""
+    texts = [" ".join(["-"] * 60 + [f"own{k}of{i}" for i in range(40)]) for k in range(20)] + [" ", "\n", None]
+    assert len({simhash.fingerprint(t or "", 5) for t in texts}) == 2
+    docs = table(list(enumerate(texts)))
+    kept = dict(pipeline.STAGES)["near-dedup"](spark, docs, small)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(len(texts)))
+
+
+def test_near_edge_cases(edge, nothing, table):
+    assert near.linked(nothing).count() == 0 and near.survivors(nothing).count() == 0
+    found = {r.node: r.root for r in near.linked(table([(5, "a b c d"), (3, "A B  C D"), (4, None), (9, " "), (None, "a b c d")])).collect()}
+    assert found == {5: 3}
+    assert {r.node for r in near.linked(edge).collect()} == {4, 6, 9}
