@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -80,6 +81,26 @@ def test_checksums_and_words_nearby():
     assert near > plain > against
 
 
+@pytest.mark.parametrize("text, number", [
+    ("IBAN DE89370400440532013000 BIC COBADEFFXXX", "DE89370400440532013000"),
+    ("GB82WEST12345698765432 20 May", "GB82WEST12345698765432"),
+    ("DE89370400440532013000 A note", "DE89370400440532013000"),
+    ("DE89 3704 0044 0532 0130 00 0042 EUR", "DE89 3704 0044 0532 0130 00"),
+    ("ref AB12 GB82 WEST 1234 5698 7654 32", "GB82 WEST 1234 5698 7654 32"),
+    ("ZZ59 1234 5678 9012 3456 A NOTE", "ZZ59 1234 5678 9012 3456"),
+])
+def test_an_iban_ends_before_what_follows(text, number):
+    start = text.index(number)
+    assert [s[:3] for s in pii.find(text) if s[0] == "iban"] == [("iban", start, start + len(number))]
+
+
+def test_ibans_in_a_row():
+    numbers = ["DE89370400440532013000", "GB82WEST12345698765432", "NO9386011117947"]
+    text = " ".join(numbers)
+    assert [text[s:e] for k, s, e, _ in pii.find(text) if k == "iban"] == numbers
+    assert [s for s in pii.find("AB12 " * 40_000) if s[0] == "iban"] == []
+
+
 def test_pii_edge_cases(edge, edge_rows, nothing, table):
     assert edge.count() == pii.digest(edge).count() and pii.digest(nothing).count() == 0
     assert {r.spans for r in pii.digest(edge).collect()} == {""}

@@ -41,6 +41,15 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an IBAN by country; where a country is not named here, any length from 15 to 34 may be meant.
+_IBAN_LENGTH = {
+    country: n for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+        31: "MT SC", 32: "LC", 33: "RU",
+    }.items() for country in countries.split()
+}
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _WORD = re.compile(r"[^\W\d_][\w-]*")
 _DIGIT = re.compile(r"[0-9]")
@@ -75,6 +84,21 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             last = m.end()
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Of every start the longest end before a space, or the match's own, that has the country's length and checks."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        start, end = m.span()
+        at = start + 1
+        while end > start:
+            plain = text[start:end].replace(" ", "")
+            if 15 <= len(plain) <= 34 and _IBAN_LENGTH.get(plain[:2], len(plain)) == len(plain) and mod97(plain):
+                yield start, end
+                at = end
+                break
+            end = text.rfind(" ", start, end)
+
+
 def _octet(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) < 4 and int(part or 0) <= 255
@@ -97,9 +121,8 @@ def _proposed(text: str) -> Iterator[tuple[str, int, int, float]]:
         for m in _PHONE.finditer(text):
             if 10 <= len(_NOT_DIGIT.sub("", m.group())) <= 15:
                 yield "phone", m.start(), m.end(), 0.7
-        for m in _IBAN.finditer(text):
-            if 15 <= len(m.group().replace(" ", "")) <= 34 and mod97(m.group()):
-                yield "iban", m.start(), m.end(), 0.8
+        for start, end in _ibans(text):
+            yield "iban", start, end, 0.8
         for m in _SSN.finditer(text):
             area, group, serial = m.group().split("-")
             if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
