@@ -11,7 +11,7 @@ one of S, kept those that fail neither. The Shapley sum of f adds what f removes
 
 - A null text counts as empty, a null source as the empty string. A null id is smaller than none and has no smaller one.
 - Rows of one id are rows of their own; equal texts under one id are no copies of each other.
-- Labels other than 1 say nothing, and several labels of an id count as 1 where one of them is.
+- Labels other than 1, and those of null ids, say nothing; several labels of an id count as 1 where one of them is.
 - Every part has its 600 rows, zeros included; an empty table gives none. Other columns play no part.
 """
 

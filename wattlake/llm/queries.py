@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import audit, bpe, chat, exact, lm, merkle, packing, pii, quality, search, simhash, substring
+from wattlake.llm import audit, bpe, chat, exact, lm, merkle, packing, pii, quality, rules, search, simhash, substring
 from wattlake.llm.common import read, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,8 @@ def _merkle_sql(levels: int = 6) -> str:
 @query("op13_merkle_manifest", _merkle_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify(read(spark, sf_dir, "documents"))
+
+
+@query("op12_voted_rules")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(read(spark, sf_dir, "documents"))
