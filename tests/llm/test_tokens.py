@@ -40,6 +40,15 @@ def test_bpe_gives_the_library_ids(documents):
         assert found[r.doc_id].decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_bpe_on_every_code_point():
+    library, own = Tokenizer.from_file(bpe.VOCABULARY), bpe.PrefixBpe()
+    points = [k for k in range(0x110000) if not 0xD800 <= k < 0xE000]
+    for at in range(0, len(points), 20_000):
+        texts = ["a" + chr(k) + "b " + chr(k) for k in points[at:at + 20_000]]
+        wrong = [t for t, e in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True) if own.encode(t) != e.ids]
+        assert wrong == []
+
+
 def test_bpe_edge_cases(edge, edge_rows, nothing):
     rows = bpe.encode(edge).collect()
     assert len(rows) == len(edge_rows) and bpe.encode(nothing).count() == 0

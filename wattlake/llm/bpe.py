@@ -6,7 +6,8 @@ what it leaves. Back-pointers from the whole word then spell the ids. No merges
 
 For vocabularies with an end-of-word suffix, lower-cased input and one token per merge (``word_bpe_49k.json``).
 
-- A null or empty text has no tokens. Special tokens in a text are found before anything else.
+- A null or empty text has no tokens. Special tokens in a text are found before anything else. What is a letter, and what
+  its lower case, is asked of the tokenizer's own normaliser and pattern.
 - Texts and words may have any length: time is linear. Words of up to ``CACHED_CHARS`` are remembered, up to
   ``CACHED_WORDS`` of them, so a worker's memory is bounded.
 - One row per input row; ids may repeat or be null, other columns play no part.
@@ -16,21 +17,37 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
 
 import ahocorasick
 import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from wattlake.llm.common import batches_of, byte_names, id_and_text, rows
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CACHED_CHARS = 64
 CACHED_WORDS = 400_000
-#: The white space of the tokenizer's pattern language, which differs from Python's.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+
+
+class _Shapes(dict):
+    """A stand-in for every character beyond ASCII: a letter, a number, another sign or a space.
+
+    Python, its libraries and the tokenizer go by different versions of Unicode, so the tokenizer's own pattern says what a
+    character is, when it is met for the first time.
+    """
+
+    def __init__(self, pattern: str):
+        super().__init__((k, k) for k in range(128))
+        self._split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+
+    def __missing__(self, code: int) -> str:
+        pieces = [p for p, _ in self._split.pre_tokenize_str(f"a{chr(code)}{chr(code)}")]
+        # a letter goes on with the one before it, a number stands alone, other signs stand together, a space is nothing
+        shape = self[code] = {3: "1", 2: "-", 1: "a" if len(pieces[0]) == 3 else " "}[len(pieces)]
+        return shape
 
 
 class PrefixBpe:
@@ -63,7 +80,10 @@ class PrefixBpe:
             self.automaton.add_word(spelt, (i, len(spelt)))
         self.automaton.make_automaton()
         self._split = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self._words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+        self._normalizer = Tokenizer.from_file(path).normalizer
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self._shapes = _Shapes(pattern)
+        self._words = regex.compile(pattern, regex.ASCII)
         self._compatible: dict[tuple[int, int], bool] = {}
         self._word_ids: dict[str, list[int]] = {}
         self._known: dict[str, tuple[int, str, str]] = {}
@@ -133,9 +153,12 @@ class PrefixBpe:
             if part in self.special:
                 ids.append(self.special[part])
                 continue
-            part = unicodedata.normalize("NFC", part)
-            part = part.lower() if part.isascii() else "".join(map(str.lower, part))
-            for word in self._words.findall(part):
+            if part.isascii():
+                words = self._words.findall(part.lower())
+            else:
+                part = self._normalizer.normalize_str(part)
+                words = [part[slice(*m.span())] for m in self._words.finditer(part.translate(self._shapes))]
+            for word in words:
                 ids += self._word_ids.get(word) or self._word(word)
         return ids
 
