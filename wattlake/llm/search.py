@@ -199,15 +199,16 @@ def search_shard(shard: dict, block: QueryBlock, average_length: float, best: Be
         total[:, columns] = queries @ matrix[:, columns]
         thin = ~thick
         total += _added(row[thin], term[thin], weight[thin], first, ends, member, impact, high - low, n)
-        total = np.round(total, DIGITS)
-        # other blocks hold sums without their dense terms
+        # other blocks hold sums without their dense terms; a document that shares no term is no hit, a score of 0.0000 is one
         outside = np.ones(n, bool)
         outside[columns] = False
         total[:, outside] = 0
-        floor = np.maximum(threshold, 10.0 ** -DIGITS / 2)
+        hit = total > 0
+        total = np.round(total, DIGITS)
+        hit &= total >= threshold[:, None]
         k = best.score.shape[1]
-        for q in np.flatnonzero((total >= floor[:, None]).any(1)):
-            good = np.flatnonzero(total[q] >= floor[q])
+        for q in np.flatnonzero(hit.any(1)):
+            good = np.flatnonzero(hit[q])
             if len(good) > 4 * k:
                 kth = np.partition(total[q][good], len(good) - k)[len(good) - k]
                 good = good[total[q][good] >= kth]
