@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -151,7 +152,7 @@ def brute_search(rows, queries, k):
         for (i, _), b in zip(rows, bags, strict=True):
             score = sum(n * math.log(1 + (len(rows) - df[t] + 0.5) / (df[t] + 0.5)) * b[t] * 2.2 / (b[t] + 1.2 * (0.25 + 0.75 * b.total() / mean))
                         for t, n in bag.items() if t in b)
-            if round(score, 4) > 0:
+            if score > 0:
                 hits.append((-round(score, 4), math.inf if i is None else i))
         found |= {(q, r, None if i == math.inf else i, -s) for r, (s, i) in enumerate(sorted(hits)[:k], 1)}
     return found
@@ -170,6 +171,15 @@ def test_search_against_brute_force(spark, table, small, edge_rows, monkeypatch)
     assert {(r.query_id, r.rank, r.doc_id, r.score) for r in got} == brute_search(rows, queries, 5)
 
 
+def test_hits_that_round_to_nothing(table):
+    """A word that every one of many documents has weighs next to nothing, and still makes them hits."""
+    rows = [(k, "common" + " filler" * (k % 3)) for k in range(30_000)]
+    index = search.build_index(table(rows))
+    got = search.top_k(index, table([(1, "common")]), 3).collect()
+    assert [(r.rank, r.doc_id) for r in sorted(got, key=lambda r: r.rank)] == [(1, 0), (2, 1), (3, 2)]
+    assert {r.score for r in got} == {0.0}
+
+
 def test_blocks_are_skipped():
     rng = random.Random(4)
     held = []
@@ -259,3 +269,72 @@ def test_quality_edge_cases(edge, edge_rows, nothing, spark):
     assert {r.score for r in quality.score(edge, quality.fit(edge, none)).collect()} == {0.5}
     assert quality.score(nothing, quality.fit(nothing, none)).count() == 0
     assert quality.score(edge, quality.fit(edge, none)).count() == len(edge_rows)
+
+
+def plain_training(bags, labels, steps, rate):
+    """The same descent, number by number."""
+    rng = np.random.default_rng(quality.SEED)
+    size = quality.DIMENSIONS
+    vectors = rng.uniform(-1 / size, 1 / size, (quality.BUCKETS, size)).astype(np.float32).astype(float)
+    outputs, bias = [[0.0, 0.0] for _ in range(size)], [0.0, 0.0]
+    order, at = rng.permutation(len(bags)), 0
+    for step in range(steps):
+        if at >= len(order):
+            order, at = rng.permutation(len(bags)), 0
+        now, at = order[at:at + quality.BATCH], at + quality.BATCH
+        slow = rate * (1 - step / steps)
+        hidden, wrong = [], []
+        for k in now:
+            h = [sum(w * vectors[i][d] for i, w in zip(*bags[k], strict=True)) for d in range(size)]
+            logits = [sum(h[d] * outputs[d][c] for d in range(size)) + bias[c] for c in (0, 1)]
+            odds = [math.exp(x - max(logits)) for x in logits]
+            hidden.append(h)
+            wrong.append([(odds[c] / sum(odds) - (labels[k] == c)) / math.sqrt(len(now)) for c in (0, 1)])
+        back = [[sum(g[c] * outputs[d][c] for c in (0, 1)) for d in range(size)] for g in wrong]
+        for c in (0, 1):
+            for d in range(size):
+                outputs[d][c] -= slow * sum(h[d] * g[c] for h, g in zip(hidden, wrong, strict=True))
+            bias[c] -= slow * sum(g[c] for g in wrong)
+        for k, g in zip(now, back, strict=True):
+            for i, w in zip(*bags[k], strict=True):
+                vectors[i] -= slow * w * np.array(g)
+    return vectors, outputs, bias
+
+
+def plain_features(text):
+    made = [quality._END]
+    w = text.split()
+    for k, word in enumerate(w):
+        spelt = f"<{word}>"
+        pieces = [spelt] + [spelt[s:s + n] for n in (2, 3, 4) for s in range(len(spelt) - n + 1)]
+        made += [zlib.crc32(p.encode()) % quality.BUCKETS for p in pieces]
+        if k and w[k - 1] == word:
+            made.append(quality._AGAIN)
+    return made
+
+
+def test_training_and_scores_against_plain_python():
+    texts = ["good words of a text", "BAD!! BAD!! BAD!!", "", "fine text and more", "x x x # #", "é ß 漢字 words", "more of the good", "### ### bad"]
+    labels = np.array([1, 0, 0, 1, 0, 1, 1, 0])
+    bags = [quality.document_features(t) for t in texts]
+    for text, (ids, weights) in zip(texts, bags, strict=True):
+        counts = Counter(plain_features(text))
+        assert dict(zip(ids.tolist(), weights.tolist(), strict=True)) == pytest.approx({i: n / counts.total() for i, n in counts.items()})
+    model = quality.train(bags, labels, steps=5)
+    vectors, outputs, bias = plain_training([(i.tolist(), w.tolist()) for i, w in bags], labels, 5, quality.RATE)
+    scorer = quality.Scorer(model)
+    for text in [*texts, "never seen words", "good good good"]:
+        f = plain_features(text)
+        h = [sum(vectors[i][d] for i in f) / len(f) for d in range(quality.DIMENSIONS)]
+        logits = [sum(h[d] * outputs[d][c] for d in range(quality.DIMENSIONS)) + bias[c] for c in (0, 1)]
+        assert scorer.score(text) == pytest.approx(1 / (1 + math.exp(logits[0] - logits[1])), abs=1e-5)
+
+
+def test_labelled_rows_of_one_id_are_bounded(spark):
+    """An id that most rows have teaches its text once."""
+    texts = [(1, "good words of one text")] * 500 + [(2, "BAD ## BAD")] + [(1, "another text of the same id")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    once = spark.createDataFrame(sorted(set(texts)), "doc_id long, text string")
+    many = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    a, b = (quality.fit(d, labels) for d in (once, many))
+    assert np.array_equal(a.speaks, b.speaks) and a.bias == b.bias

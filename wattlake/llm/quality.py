@@ -3,7 +3,7 @@
 Every word stands for itself, its character n-grams and, where it repeats the word before it, a mark of that; each of
 these is hashed to a learned vector. A document is the average of its vectors, a softmax over two outputs reads its class.
 Vectors and outputs are learned together by stochastic gradient descent in numpy, on at most ``LABELLED_ROWS`` labelled
-rows (those with the smallest hashes of their ids). Whatever the table's size, the model has ``BUCKETS`` vectors.
+texts (those with the smallest hashes). Whatever the table's size, the model has ``BUCKETS`` vectors.
 
 Scoring needs only each bucket's vector times the difference of the outputs, so it is a sum over words.
 
@@ -14,21 +14,24 @@ Scoring needs only each bucket's vector times the difference of the outputs, so
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import batches_of, id_and_text, rows
 
 LABELLED_ROWS = 3000
+#: Bytes of features of those rows, at most.
+LABELLED_BYTES = 256 << 20
 BUCKETS = 1 << 17
 DIMENSIONS = 8
-GRAMS = (3, 4)
+GRAMS = (2, 3, 4)
 #: Batches learnt from, however many rows there are.
 STEPS = 2000
 BATCH = 16
@@ -128,24 +131,36 @@ class Scorer:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", limit: int = LABELLED_ROWS) -> Model:
-    """Learn from at most ``limit`` labelled rows. Only they reach the driver, as hashed features of bounded size."""
+    """Learn from at most ``limit`` labelled texts, and at most ``LABELLED_BYTES`` of their features, which alone reach the
+    driver. Of rows alike in id, label and text one counts, so an id that many rows have brings no more than its texts."""
     chosen = labels.select(F.col("doc_id").cast("long").alias("labelled"), F.col(label_col).cast("int").alias("label"))
     chosen = chosen.where(F.col("label").isin(0, 1)).orderBy(F.xxhash64("labelled"), "labelled", "label").limit(limit)
     given = id_and_text(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("ids", pa.binary()), ("weights", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("digest", pa.binary()), ("ids", pa.binary()), ("weights", pa.binary())])
 
     def run(batches):
         def made():
+            seen: set[tuple] = set()
             for doc_id, label, text in rows(batches, "doc_id", "label", "text"):
+                digest = hashlib.sha256(text.encode()).digest()
+                if (doc_id, label, digest) in seen:
+                    continue
+                if len(seen) >= 10 * LABELLED_ROWS:
+                    seen.clear()
+                seen.add((doc_id, label, digest))
                 ids, weights = document_features(text)
-                yield doc_id, label, ids.tobytes(), weights.tobytes()
+                yield doc_id, label, digest, ids.tobytes(), weights.tobytes()
 
         return batches_of(made(), schema, 64)
 
-    found = given.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, ids binary, weights binary").collect()
-    found.sort(key=lambda r: (r.doc_id, r.label, r.ids, r.weights))
-    bags = [(np.frombuffer(r.ids, np.int32), np.frombuffer(r.weights, np.float32)) for r in found]
-    return train(bags, np.array([r.label for r in found], np.int64))
+    found = given.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, digest binary, ids binary, weights binary")
+    order = [F.xxhash64("doc_id", "digest"), F.col("doc_id"), F.col("label"), F.col("digest")]
+    first = found.dropDuplicates(["doc_id", "label", "digest"]).orderBy(*order).limit(limit)
+    so_far = F.sum(F.length("ids") + F.length("weights")).over(Window.orderBy(*order))  # over at most ``limit`` rows
+    taught = first.withColumn("bytes", so_far).where(F.col("bytes") <= LABELLED_BYTES).drop("bytes").collect()
+    taught.sort(key=lambda r: (r.doc_id, r.label, r.ids, r.weights))
+    bags = [(np.frombuffer(r.ids, np.int32), np.frombuffer(r.weights, np.float32)) for r in taught]
+    return train(bags, np.array([r.label for r in taught], np.int64))
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
