@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from wattlake.plans.bronze import run_bronze
 from wattlake.plans.gold import run_charts, run_gold
-from wattlake.plans.silver import run_silver
+from wattlake.plans.silver import run_silver, silver_table
 from wattlake.functions.times import at
 from wattlake.operators.quality import row_counts
 from wattlake.plans.views import plant
 from wattlake.plans.views.registry import VIEWS, open_lake, register_all
 from wattlake.sources.registry import registry_of
-from wattlake.sources.sinks import VersionedTable
 
 HEADER = (
     "Plant ID,plant_name,country,primary_fuel,capacity_mw,commissioning_year,latitude,longitude,"
@@ -121,7 +120,7 @@ def test_gold_values(lake, spark):
 
 
 def test_utilisation_of_the_fixture(lake, spark):
-    silver = VersionedTable(spark, f"{lake['root']}/silver/stg_power_plants").read()
+    silver = silver_table(spark, lake["root"]).read()
     seen = {r.plant_id: round(r.utilization_ratio, 5) for r in plant.underutilized_plants({"stg_power_plants": silver}).collect()}
     assert seen == {"SIM-001": 0.20548, "SIM-002": 0.36088, "SIM-003": 0.25685}
 
@@ -215,3 +214,19 @@ def test_repeated_keys_bring_only_what_changed(feeds):
     assert bronze(1, [*BASE, twin]).changed_rows == 3
     assert bronze(2, [*BASE, twin, INCREMENT[1]]).changed_rows == 1
     assert bronze(3, [BASE[1], BASE[0], twin.replace("Omega", "Other"), INCREMENT[1]]).changed_rows == 1
+
+
+def test_silver_writes_only_the_buckets_of_a_batch(feeds, spark):
+    bronze, silver, root = feeds
+    many = [BASE[0].replace("SIM-001", f"SIM-{k}").replace("Alpha", f"Alpha{k}") for k in range(100, 400)]
+    bronze(1, [*BASE, *many])
+    silver(1)
+    table = silver_table(spark, root)
+    places = lambda: table._manifest(table._entry(table.current_version()).folder)
+    before = places()
+    bronze(2, [*BASE, *many, INCREMENT[1]])
+    assert len(silver(2)) == 303
+    after = places()
+    assert sum(after[b] != before.get(b) for b in after) == 1 and len(before) > 40
+    run_silver(spark, registry_of(spark, [dict(SOURCES[0], primary_key="Plant ID")]), root, "2027-01-01 00:00:00", "next-year")
+    assert all(places()[b] != f for b, f in after.items())  # rows without a time are of the year of the run

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattlake.operators import alerts
-from wattlake.sources.sinks import VersionedTable
+from wattlake.sources.sinks import KeyedTable, VersionedTable
 from wattlake.streaming import jobs
 
 SCHEMA = "plant_id string, event_time timestamp_ntz, ingested_at timestamp_ntz, v int"
@@ -18,8 +18,9 @@ def land(spark, root, *rows):
     frame.coalesce(1).write.mode("append").parquet(f"{root}/landing")
 
 
-def test_upsert_stream_equals_batch_and_survives_a_restart(spark, root):
-    table = VersionedTable(spark, f"{root}/table")
+@pytest.mark.parametrize("kind", [VersionedTable, lambda spark, path: KeyedTable(spark, path, "plant_id", 8)])
+def test_upsert_stream_equals_batch_and_survives_a_restart(spark, root, kind):
+    table = kind(spark, f"{root}/table")
     stream = lambda: jobs.file_stream(spark, f"{root}/landing", SCHEMA, files_per_batch=1)
     land(spark, root, ("a", 1, 1, 1), ("b", 5, 1, 2))
     jobs.upsert_stream(stream(), table, f"{root}/checkpoint")

@@ -26,7 +26,9 @@ from wattlake.functions.hashing import owner_mask, owner_prefix_mask
 from wattlake.functions.text import clean_text, title_case
 from wattlake.operators import conform, upsert
 from wattlake.plans.medallion import conformed_batch
+from wattlake.session import new_folder
 from wattlake.sources import bindings
+from wattlake.sources.sinks import KeyedTable
 
 
 @query("cnf_01_column_names", "SELECT o_orderkey AS order_key, o_orderstatus AS order_status, o_totalprice AS total_price_usd FROM orders")
@@ -248,6 +250,18 @@ def upsert_batch(spark, sf_dir):
     return upsert.upsert(current, batch)
 
 
+@query("ups_02_bucketed_upsert", _upsert_sql("LAST"))
+def bucketed_upsert(spark, sf_dir):
+    """The same, into a table of which the batch writes only its buckets; the batch comes in two parts."""
+    current, batch = _halves(spark, sf_dir)
+    table = KeyedTable(spark, new_folder(spark, "ups-02"), "plant_id")
+    table.replace(current)
+    small = F.pmod(F.xxhash64("plant_id"), F.lit(100)) == 0
+    for part in (batch.filter(small), batch.filter(~small)):
+        table.change_keys(part, lambda now, part=part: upsert.upsert(now, part))
+    return table.read()
+
+
 @query("ups_02_upsert_nulls_win", _upsert_sql("FIRST"))
 def upsert_nulls_win(spark, sf_dir):
     """A record without a time replaces any other, as in a sort that puts nulls last and keeps the last row."""

@@ -10,7 +10,7 @@ from wattlake.functions.text import lookup
 from wattlake.operators import alerts
 from wattlake.session import new_folder
 from wattlake.sources import bindings
-from wattlake.sources.sinks import VersionedTable
+from wattlake.sources.sinks import KeyedTable
 from wattlake.streaming import jobs
 
 
@@ -49,7 +49,7 @@ def streaming_upsert(spark, sf_dir):
     """Readings arrive by status; the table ends with the latest reading of every plant."""
     folder = new_folder(spark, "str-03")
     rows = bindings.readings(spark, sf_dir).select("plant_id", "o_orderkey", "event_time", "estimated_generation_gwh", "status")
-    table = VersionedTable(spark, f"{folder}/table")
+    table = KeyedTable(spark, f"{folder}/table", "plant_id")
     for status in ("O", "F", "P"):
         rows.filter(F.col("status") == status).drop("status").write.mode("append").parquet(f"{folder}/landing")
         stream = jobs.file_stream(spark, f"{folder}/landing", rows.drop("status").schema)

@@ -15,13 +15,17 @@ from wattlake.operators.upsert import upsert
 from wattlake.plans.bronze import read_bronze
 from wattlake.plans.medallion import clean_feed
 from wattlake.sources.readers import enabled_sources, existing
-from wattlake.sources.sinks import VersionedTable, append_metrics, append_quarantine, metric_rows, write_report
+from wattlake.sources.sinks import KeyedTable, VersionedTable, append_metrics, append_quarantine, metric_rows, write_report
 
 ADDED_BY_LAYOUT = ("row_hash", "ingest_year", "ingest_month", "ingest_day", "ingest_run")
 
 
-def silver_table(spark: SparkSession, root: str) -> VersionedTable:
-    return VersionedTable(spark, f"{root}/silver/stg_power_plants")
+#: Buckets of a new silver table.
+BUCKETS = 64
+
+
+def silver_table(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(spark, f"{root}/silver/stg_power_plants", "plant_id", BUCKETS)
 
 
 def merged_until(spark: SparkSession, root: str) -> VersionedTable:
@@ -70,12 +74,15 @@ def _newest_run(report: DataFrame | None, run: str) -> DataFrame | None:
     return report.filter(F.col(run) == report.select(F.max(run)).scalar())
 
 
-def run_silver(spark: SparkSession, registry: DataFrame, root: str, as_of: str, run_id: str) -> DataFrame:
+def run_silver(spark: SparkSession, registry: DataFrame, root: str, as_of: str, run_id: str, regate: bool = False) -> DataFrame:
     """Conform, gate, merge and report; returns the new silver table.
 
-    The conformed batch and the merged table are written before anything reads
+    The conformed batch and the merged rows are written before anything reads
     them twice: gates, counts and sinks then scan files instead of repeating the
     whole plan, and losing an executor costs one task, not the lineage.
+
+    Only the buckets in which the batch has plants are merged, checked and written. All are when rows without an event
+    time get another year, that of the run, and on ``regate``: after a change of the rules.
     """
     run_time, run_year = at(as_of), int(as_of[:4])
     staged = f"{root}/staging/{run_id}"
@@ -83,14 +90,17 @@ def run_silver(spark: SparkSession, registry: DataFrame, root: str, as_of: str,
     conform(quality.require_columns(taken)).write.mode("overwrite").parquet(f"{staged}/batch")
     batch = spark.read.parquet(f"{staged}/batch")
 
-    table = silver_table(spark, root)
-    current = table.read()
-    merged = upsert(current, quality.good_rows(batch).drop("raw_country", "raw_fuel"))
-    merged.write.mode("overwrite").parquet(f"{staged}/merged")
+    table, good = silver_table(spark, root), quality.good_rows(batch).drop("raw_country", "raw_fuel")
+
+    def merge(current: DataFrame | None) -> DataFrame:
+        upsert(current, good).write.mode("overwrite").parquet(f"{staged}/merged")
+        checked = event_period(quality.good_rows(spark.read.parquet(f"{staged}/merged")), run_year)
+        quality.assert_unique(checked, "plant_id")
+        return checked
+
+    every = regate or table.remark() != str(run_year)
+    silver = table.change_keys(None if every else good, merge, remark=str(run_year))
     merged = spark.read.parquet(f"{staged}/merged")
-    checked = event_period(quality.good_rows(merged), run_year)
-    quality.assert_unique(checked, "plant_id")
-    silver = table.replace(checked)
     merged_until(spark, root).replace(marks)
 
     quarantine = f"{root}/quarantine/stg_power_plants_malformed"

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattlake.constants import METRIC_NAMES, METRIC_PREFIXES
 from wattlake.sources.readers import existing
@@ -29,50 +33,226 @@ def append_bronze(rows: DataFrame, path: str, ingested_at: Column | None = None)
     )
 
 
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def claim(spark: SparkSession, path: str, line: str) -> bool:
+    """Give a small file a name that must not exist yet; of several writers one succeeds, where the store renames atomically.
+
+    The file is complete before it has the name, so no reader sees half of it and a lost writer takes no name.
+    """
+    files, target = _hadoop(spark, path)
+    fs = spark._jvm.org.apache.hadoop.fs
+    draft = fs.Path(target.getParent(), f"_{uuid.uuid4().hex}")
+    out = files.create(draft, False)
+    out.write(bytearray(line.encode()))
+    out.close()
+    context = fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(draft, target, spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0))
+    except Py4JJavaError as error:
+        files.delete(draft, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
+def listed(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names in a folder with their times of change in milliseconds; empty where there is no folder."""
+    files, target = _hadoop(spark, path)
+    if not files.exists(target):
+        return {}
+    return {f.getPath().getName(): f.getModificationTime() for f in files.listStatus(target)}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, target = _hadoop(spark, path)
+    files.delete(target, True)
+
+
+class Conflict(RuntimeError):
+    """Other writers were faster, as often as was tried."""
+
+
 class VersionedTable:
     """A table replaced as a whole while it is being read.
 
-    Each write goes to a new folder; a log row naming the folder is added after
-    the data is complete, so a job lost half way leaves the old version current.
-    One writer at a time, any number of readers.
+    The rows of a write go to a folder of their own. What makes them the next version is its entry in the log, a file
+    named by the number, which must not exist yet; a job lost half way leaves the old version current. Of two writers of
+    the same version one comes second and makes its change again, on top of the other's, so none is lost. Any number of
+    readers go on with the version that they began with, until it is expired.
     """
 
-    LOG_SCHEMA = "version long, writer string, batch long"
+    LOG_SCHEMA = "version long, writer string, batch long, folder string, note string"
+    TRIES = 20
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _newest(self, test: Column | None = None) -> int | None:
-        log = existing(lambda: self.spark.read.schema(self.LOG_SCHEMA).json(f"{self.path}/log"))
-        if log is None:
-            return None
-        return (log if test is None else log.filter(test)).agg(F.max("version")).first()[0]
+    def log(self, version: int | None = None) -> DataFrame | None:
+        """What each version is made of, or one version."""
+        path = f"{self.path}/log" if version is None else f"{self.path}/log/{version:012d}.json"
+        return existing(lambda: self.spark.read.schema(self.LOG_SCHEMA).json(path))
+
+    def _entry(self, version: int | None):
+        log = self.log(version) if version else None
+        return None if log is None else log.first()
 
     def current_version(self) -> int | None:
-        return self._newest()
+        return max((int(n[:12]) for n in listed(self.spark, f"{self.path}/log") if n.endswith(".json")), default=None)
+
+    def done(self, writer: str, batch: int | None) -> int | None:
+        """The version that a stream batch has written."""
+        log = self.log() if batch is not None else None
+        if log is None:
+            return None
+        return log.filter((F.col("writer") == writer) & (F.col("batch") == batch)).agg(F.max("version")).first()[0]
 
     def version_of(self, writer: str, batch: int) -> int:
         """The version a stream batch has written, or the next one if it has not."""
-        done = self._newest((F.col("writer") == writer) & (F.col("batch") == batch))
-        return done or (self.current_version() or 0) + 1
+        return self.done(writer, batch) or (self.current_version() or 0) + 1
 
     def version(self, version: int) -> DataFrame | None:
         """A given version; None for version 0, which is before the first."""
-        return self.spark.read.parquet(f"{self.path}/v{version}") if version else None
+        entry = self._entry(version)
+        return None if entry is None else self._rows(entry.folder)
+
+    def _rows(self, folder: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{folder}")
 
     def read(self) -> DataFrame | None:
         return self.version(self.current_version() or 0)
 
-    def write_version(self, rows: DataFrame, version: int, writer: str = "job", batch: int | None = None) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/v{version}")
-        log = self.spark.createDataFrame([(version, writer, batch)], self.LOG_SCHEMA)
-        log.write.mode("append").json(f"{self.path}/log")
+    def _commit(self, version: int, folder: str, writer: str, batch: int | None, note: str | None = None) -> bool:
+        entry = {"version": version, "writer": writer, "batch": batch, "folder": folder, "note": note}
+        return claim(self.spark, f"{self.path}/log/{version:012d}.json", json.dumps(entry))
+
+    def change(self, make: Callable[[DataFrame | None], DataFrame], writer: str = "job", batch: int | None = None) -> DataFrame:
+        """``make`` of the current rows becomes the next version. A stream batch that has its version is not repeated."""
+        for _ in range(self.TRIES):
+            if done := self.done(writer, batch):
+                return self.version(done)
+            before = self.current_version() or 0
+            folder = f"rows-{uuid.uuid4().hex}"
+            make(self.version(before)).write.parquet(f"{self.path}/{folder}")
+            if self._commit(before + 1, folder, writer, batch):
+                return self._rows(folder)
+            remove(self.spark, f"{self.path}/{folder}")
+        raise Conflict(self.path)
 
     def replace(self, rows: DataFrame) -> DataFrame:
-        version = (self.current_version() or 0) + 1
-        self.write_version(rows, version)
-        return self.version(version)
+        """``rows`` instead of whatever there is."""
+        return self.change(lambda _: rows)
+
+    def _folders(self, entries: list) -> set[str]:
+        """Folders that versions need."""
+        return {e.folder for e in entries}
+
+    def expire(self, keep: int = 5, hours: float = 24) -> int:
+        """Remove all but the newest ``keep`` versions, and what lost writers left, if older than ``hours``; how many folders went.
+
+        A reader of a version must be through before it is old. Log entries of stream batches stay as long as their versions.
+        """
+        now = self.spark.sql("SELECT unix_millis(current_timestamp())").first()[0]
+        old = {n for n, t in listed(self.spark, f"{self.path}/log").items() if n.endswith(".json") and now - t >= hours * 3_600_000}
+        newest = self.current_version() or 0
+        gone = {v for v in (int(n[:12]) for n in old) if v <= newest - keep}
+        log = self.log()
+        entries = [e for e in log.collect() if e.version not in gone] if log is not None else []
+        needed = self._folders(entries)
+        for version in gone:
+            remove(self.spark, f"{self.path}/log/{version:012d}.json")
+        left = [n for n, t in listed(self.spark, self.path).items() if n != "log" and n not in needed and now - t >= hours * 3_600_000]
+        for name in left:
+            remove(self.spark, f"{self.path}/{name}")
+        return len(left)
+
+
+class KeyedTable(VersionedTable):
+    """A table of one row per key whose versions share what a change leaves alone.
+
+    Rows lie in buckets by the hash of their key. A change reads and writes only the buckets in which it has keys; a
+    version is a manifest that names, for every bucket, the write that holds it. The number of buckets is fixed with the
+    first version: take so many that one is a few tasks' work.
+    """
+
+    MANIFEST = "bucket int, folder string"
+
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
+        super().__init__(spark, path)
+        self.key, self.buckets = key, buckets
+
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
+
+    def _manifest(self, folder: str) -> dict[int, str]:
+        """Where each bucket is: one row per bucket, however large the table."""
+        return {r.bucket: r.folder for r in self.spark.read.schema(self.MANIFEST).parquet(f"{self.path}/{folder}").collect()}
+
+    def _about(self, entry) -> dict:
+        return json.loads(entry.note)
+
+    def _read(self, schema: StructType, places: dict[int, str]) -> DataFrame:
+        if not places:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{folder}/_bucket={b}" for b, folder in sorted(places.items())))
+
+    def version(self, version: int) -> DataFrame | None:
+        entry = self._entry(version)
+        if entry is None:
+            return None
+        return self._read(StructType.fromJson(self._about(entry)["schema"]), self._manifest(entry.folder))
+
+    def remark(self) -> str | None:
+        """What the last change said of itself."""
+        entry = self._entry(self.current_version())
+        return None if entry is None else self._about(entry)["remark"]
+
+    def change_keys(
+        self, keys: DataFrame | None, make: Callable[[DataFrame | None], DataFrame], writer: str = "job", batch: int | None = None,
+        remark: str | None = None,
+    ) -> DataFrame:
+        """``make`` of the current rows in the buckets of ``keys`` takes their place; without ``keys`` that of all rows.
+
+        ``make`` gets rows of other keys in these buckets too and must give them back. A key that it gives must belong to
+        one of these buckets.
+        """
+        for _ in range(self.TRIES):
+            if done := self.done(writer, batch):
+                return self.version(done)
+            before = self.current_version() or 0
+            entry = self._entry(before)
+            about = self._about(entry) if entry else {"buckets": self.buckets, "schema": None}
+            places = self._manifest(entry.folder) if entry else {}
+            bucket = self._bucket(about["buckets"])
+            touched = None if keys is None else {r[0] for r in keys.select(bucket).distinct().collect()}
+            old = StructType.fromJson(about["schema"]) if about["schema"] else None
+            mine = places if touched is None else {b: f for b, f in places.items() if b in touched}
+            made = make(self._read(old, mine) if mine else None if old is None else self.spark.createDataFrame([], old))
+            schema = made.schema if old is None else StructType([*old, *(f for f in made.schema if f.name not in old.names)])
+            folder, manifest = f"rows-{uuid.uuid4().hex}", f"manifest-{uuid.uuid4().hex}"
+            made.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{folder}")
+            written = {int(n[8:]) for n in listed(self.spark, f"{self.path}/{folder}") if n.startswith("_bucket=")}
+            if touched is not None and written - touched:
+                raise ValueError("a change made rows of keys that it did not name")
+            now = {b: f for b, f in places.items() if b not in mine} | dict.fromkeys(written, folder)
+            self.spark.createDataFrame(sorted(now.items()), self.MANIFEST).coalesce(1).write.parquet(f"{self.path}/{manifest}")
+            note = {"buckets": about["buckets"], "schema": schema.jsonValue(), "remark": remark}
+            if self._commit(before + 1, manifest, writer, batch, json.dumps(note)):
+                return self.version(before + 1)
+            remove(self.spark, f"{self.path}/{folder}")
+            remove(self.spark, f"{self.path}/{manifest}")
+        raise Conflict(self.path)
+
+    def change(self, make: Callable[[DataFrame | None], DataFrame], writer: str = "job", batch: int | None = None) -> DataFrame:
+        return self.change_keys(None, make, writer, batch)
+
+    def _folders(self, entries: list) -> set[str]:
+        return {f for e in entries for f in (e.folder, *self._manifest(e.folder).values())}
 
 
 def append_quarantine(rows: DataFrame, path: str, run_id: str) -> None:

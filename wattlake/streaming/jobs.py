@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from wattlake.operators import alerts, ingest
 from wattlake.operators.upsert import upsert
 from wattlake.sources.readers import existing
-from wattlake.sources.sinks import VersionedTable
+from wattlake.sources.sinks import KeyedTable, VersionedTable
 
 
 def file_stream(
@@ -60,16 +60,20 @@ def ingest_stream(
 def upsert_stream(
     rows: DataFrame, table: VersionedTable, checkpoint: str, key: str = "plant_id", order: tuple[str, ...] = ("event_time", "ingested_at")
 ) -> None:
-    """Merge every batch into a table.
+    """Merge every batch into a table; in a ``KeyedTable`` a batch writes only the buckets of its keys.
 
-    The table's log knows which version a batch of this checkpoint wrote, so a
-    repeated batch replaces its own result. A new checkpoint starts new batches
-    on top of what is there.
+    The table's log knows which version a batch of this checkpoint wrote, so a repeated batch changes nothing. A new
+    checkpoint starts new batches on top of what is there.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        version = table.version_of(checkpoint, batch_id)
-        table.write_version(upsert(table.version(version - 1), batch, key, order), version, checkpoint, batch_id)
+        def merged(current: DataFrame | None) -> DataFrame:
+            return upsert(current, batch, key, order)
+
+        if isinstance(table, KeyedTable):
+            table.change_keys(batch, merged, checkpoint, batch_id)
+        else:
+            table.change(merged, checkpoint, batch_id)
 
     run_available(rows.writeStream.foreachBatch(merge), checkpoint)
 
