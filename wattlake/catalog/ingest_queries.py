@@ -10,7 +10,9 @@ from wattlake.catalog.sql import RUN, hash_sum, iso, row_hash, with_ctes
 from wattlake.functions.times import at, iso_text, parse_iso
 from wattlake.operators import ingest
 from wattlake.operators.upsert import latest_per_key
+from wattlake.session import new_folder
 from wattlake.sources import bindings
+from wattlake.sources.hash_index import RowHashIndex
 
 LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus", "l_shipdate")
@@ -113,6 +115,28 @@ def repeated_keys(spark, sf_dir):
     return ingest.unseen_rows(now, live).select("l_orderkey", "l_linenumber", (F.col("l_quantity") - 0.5).alias("l_quantity"))
 
 
+@query("ing_05_hash_index", """
+    SELECT l_orderkey, l_linenumber, l_quantity + 0.5 AS l_quantity, 2 AS ingest FROM lineitem WHERE l_returnflag = 'A'
+    UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, 3 FROM lineitem WHERE l_returnflag = 'A'""")
+def hash_index(spark, sf_dir):
+    """Three ingests against an index of row hashes: all rows, some changed, and the first feed of those once more."""
+    columns = ["l_orderkey", "l_linenumber", "l_quantity"]
+    rows = bindings.table(spark, sf_dir, "lineitem").select(*columns, "l_returnflag")
+    returned = F.col("l_returnflag") == "A"
+    changed = F.when(returned, F.col("l_quantity") + 0.5).otherwise(F.col("l_quantity"))
+    folder = new_folder(spark, "ing-05")
+    index = RowHashIndex(spark, f"{folder}/index")
+    found = []
+    for k, feed in enumerate((rows, rows.withColumn("l_quantity", changed), rows.filter(returned)), 1):
+        hashed = ingest.with_row_hash(feed.select(*columns))
+        if k > 1:
+            new = f"{folder}/changed-{k}"
+            index.unseen(hashed).select(*columns).write.parquet(new)
+            found.append(spark.read.parquet(new).withColumn("ingest", F.lit(k)))
+        index.record(hashed.select("row_hash", F.col("l_orderkey").cast("string").alias("key")), k)
+    return found[0].unionByName(found[1])
+
+
 @query("ing_06_no_change", """
     SELECT o_orderpriority, count(*) FILTER (o_orderpriority LIKE '1%') AS changed_rows,
            CASE WHEN o_orderpriority LIKE '1%' THEN 'ingested' ELSE 'no_changes' END AS status

@@ -34,11 +34,14 @@ def content_fingerprint(df: DataFrame, by: Iterable[str | Column] = (), columns:
     a digest of the bytes would need one task to read the file from end to end.
     """
     digest = row_hash(columns or business_columns(df))
-    rows = df.select(*by, hash_weight(digest).alias("_weight"))
-    names = rows.columns[:-1]
-    return rows.groupBy(*names).agg(
-        F.count("*").alias("row_count"), F.coalesce(F.sum("_weight"), F.lit(0)).cast("string").alias("content_hash")
-    )
+    rows = df.select(*by, digest.alias("_digest"))
+    return rows.groupBy(*rows.columns[:-1]).agg(*fingerprint_of_hashes(F.col("_digest")))
+
+
+def fingerprint_of_hashes(digest: Column) -> list[Column]:
+    """The aggregates of ``content_fingerprint``, for rows that have their hashes."""
+    weight = F.coalesce(F.sum(hash_weight(digest)), F.lit(0)).cast("string")
+    return [F.count(F.lit(1)).alias("row_count"), weight.alias("content_hash")]
 
 
 def file_fingerprints(df: DataFrame) -> DataFrame:

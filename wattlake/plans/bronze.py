@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.constants import DROP_RATIO, SPIKE_RATIO
 from wattlake.functions.times import at
 from wattlake.operators import ingest
-from wattlake.sources.readers import existing, read_dataset
+from wattlake.sources.hash_index import RowHashIndex
+from wattlake.sources.readers import existing, file_listing, read_dataset
 from wattlake.sources.registry import source_folder
 from wattlake.sources.sinks import (
     VersionedTable,
@@ -18,6 +19,7 @@ from wattlake.sources.sinks import (
     append_metrics,
     merge_state,
     metric_rows,
+    remove,
     run_key,
     write_report,
 )
@@ -26,7 +28,7 @@ STATE_SCHEMA = (
     "source_name string, last_file_hash string, last_ingested_at timestamp_ntz, last_rows long, last_changed_rows long, "
     "last_late_arriving_rows long, last_output_path string, last_status string, last_volume_ratio double, "
     "last_volume_spike_detected boolean, last_volume_drop_detected boolean, event_time_watermark timestamp_ntz, "
-    "last_checked_at timestamp_ntz, last_error string, last_failed_at timestamp_ntz"
+    "last_checked_at timestamp_ntz, last_error string, last_failed_at timestamp_ntz, last_listing string"
 )
 STATE_FIELDS = [part.split()[0] for part in STATE_SCHEMA.split(", ")]
 
@@ -47,40 +49,50 @@ def rows_of_run(rows: DataFrame, time: str) -> DataFrame:
     return rows
 
 
-def live_table(spark: SparkSession, root: str, source_name: str) -> VersionedTable:
-    """What the source's rows are at present, as (key, row_hash)."""
-    return VersionedTable(spark, source_folder(f"{root}/audit/live_rows", source_name))
+def live_rows(spark: SparkSession, root: str, source_name: str) -> RowHashIndex:
+    """What the source's rows are at present, by their hash."""
+    return RowHashIndex(spark, source_folder(f"{root}/audit/row_hashes", source_name))
 
 
 def ingest_source(spark: SparkSession, source: Row, state: Row | None, root: str, base: str, as_of: str, force: bool) -> dict:
     """Ingest one source; the returned fields describe it for the reports and the state.
 
-    The feed is compared with the source's live rows, which are replaced after the batch is written: a run lost in
-    between finds the same rows changed again. Run again for the same time it writes to the place of its first try.
-    The batch is written before it is counted, so its plan runs once.
+    A source whose files are as they were, by name, length and time, is not opened. Any other is scanned once: its rows
+    are written with their hashes, and counted and fingerprinted while they are.
+
+    The feed is compared with the source's live rows, to which what it changed is added after the batch is written: a run
+    lost in between finds the same rows changed again. Run again for the same time it writes to the place of its first
+    try. The batch is written before it is counted, so its plan runs once.
     """
-    bronze = f"{root}/bronze"
-    current = read_dataset(spark, f"{base}/{source.path}", source.format)
-    seen = ingest.content_fingerprint(current).first()
-    found = {"source_name": source.source_name, "last_rows": seen.row_count, "last_checked_at": as_of}
-    if not force and state is not None and state.last_output_path and state.last_file_hash == seen.content_hash:
+    bronze, path = f"{root}/bronze", f"{base}/{source.path}"
+    files = file_listing(spark, path)
+    found = {"source_name": source.source_name, "last_checked_at": as_of, "last_listing": files}
+    ingested_before = not force and state is not None and bool(state.last_output_path)
+    if ingested_before and files is not None and state.last_listing == files:
+        return found | {"last_status": "skipped", "last_rows": state.last_rows}
+
+    staged = source_folder(f"{root}/staging/bronze", source.source_name)
+    seen = Observation()
+    hashed = ingest.with_row_hash(read_dataset(spark, path, source.format))
+    hashed.observe(seen, *ingest.fingerprint_of_hashes(F.col("row_hash"))).write.mode("overwrite").parquet(staged)
+    found |= {"last_rows": seen.get["row_count"], "last_file_hash": seen.get["content_hash"]}
+    if ingested_before and state.last_file_hash == found["last_file_hash"]:
         return found | {"last_status": "skipped"}
 
-    hashed = changed = ingest.with_row_hash(current)
-    live, key = live_table(spark, root, source.source_name), source.primary_key
-    keyed = bool(key) and key in current.columns
-    known = live.read() if keyed else None
-    if known is not None:
-        changed = ingest.unseen_rows(hashed, known)
+    hashed = changed = spark.read.schema(hashed.schema).parquet(staged)
+    live, key = live_rows(spark, root, source.source_name), source.primary_key
+    keyed = bool(key) and key in hashed.columns
+    if keyed and live.exists():
+        changed = live.unseen(hashed)
     mark = state.event_time_watermark if state is not None else None
     dated = ingest.annotate_events(changed, source.event_time_column, at(str(mark)) if mark else None)
     append_bronze(ingest.add_provenance(dated, source.source_name, at(as_of)), bronze)
 
-    found["last_file_hash"] = seen.content_hash
     written = read_bronze(spark, bronze, source.source_name)
     counts = ingest.batch_outcome(rows_of_run(written, as_of)).first() if written is not None else None
     if keyed:
-        live.replace(ingest.live_rows(hashed, key, known))
+        live.record(hashed.select("row_hash", F.col(key).cast("string").alias("key")))
+    remove(spark, staged)
     if counts is None and not force:
         return found | {"last_status": "no_changes"}
     newest = counts.newest_event_time if counts else None
@@ -112,6 +124,8 @@ def run_bronze(
     state = store.read()
     if state is None:
         state = spark.createDataFrame([], STATE_SCHEMA)
+    if "last_listing" not in state.columns:  # written before listings were kept
+        state = state.withColumn("last_listing", F.lit(None).cast("string"))
     known = {r.source_name: r for r in state.collect()}
     found = []
     for source in registry.collect():

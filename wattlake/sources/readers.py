@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
@@ -82,6 +83,20 @@ def _suffixes(spark: SparkSession, path: str) -> set[str]:
     return found
 
 
+def file_listing(spark: SparkSession, path: str) -> str | None:
+    """Digest of the names, lengths and times of change of the files at or below a path, none of which is opened; None where
+    there are none, or the path is a pattern."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return None
+    files, found = system.listFiles(folder, True), []
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest() if found else None
+
+
 def read_mixed(spark: SparkSession, path: str, formats: tuple[str, ...] = FORMATS) -> DataFrame:
     """A folder holding one or several formats, each read by its suffix and unioned by name; others are an error."""
     found = _suffixes(spark, path)
