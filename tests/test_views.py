@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wattlake.catalog import tables as shared
 from wattlake.functions.numbers import total
-from wattlake.operators import alerts
+from wattlake.operators import alerts, gold, ranking
 from wattlake.plans.views import geo, monitor, sustain
 
 STAGES = ["bronze_rows_ingested", "silver_valid_rows", "gold_rows_fact_capacity", "visualizations_generated"]
@@ -40,6 +40,47 @@ def test_pipeline_runs_against_brute_force(spark, seed):
     assert sorted((tuple(r) for r in got), key=lambda r: r[0]) == brute_runs(log)
 
 
+def test_a_log_of_one_hour_is_cut_into_equal_pieces(spark):
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    log = [(start + dt.timedelta(microseconds=rng.randrange(3_600_000_000)), rng.choice(STAGES)) for _ in range(6000)]
+    df = spark.createDataFrame([(t.isoformat() + "+00:00", n, 1.0) for t, n in log], "metric_timestamp string, metric_name string, metric_value double")
+    stages = monitor._stage_log(df)
+    sizes = [r["count"] for r in ranking.ranges(stages, [F.col("ts").desc(), F.col("stage")], 16).groupBy("_part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * sorted(sizes)[8]
+    got = monitor.pipeline_runs(df, 16).collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[0]) == brute_runs(log)
+
+
+def test_numbers_and_ranks_against_sorting(spark):
+    """One common beginning, ties, nulls and a group with most rows."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["g", "g", "g", None, "h"]), f"same beginning {rng.randrange(300):05d}" if k % 50 else None, k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "g string, name string, k int")
+    got = ranking.numbered(df, ["g"], [F.col("name").asc_nulls_last(), F.col("k").desc()], "at")
+    want = {}
+    for g in ("g", "h", None):
+        own = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, r[1] or "", -r[2]))
+        want |= {r[2]: at for at, r in enumerate(own)}
+    assert {r.k: r["at"] for r in got.collect()} == want
+    for down in (True, False):
+        names = sorted({r[1] for r in rows if r[1]}, reverse=down)
+        before, ranks = 0, {}
+        for name in [*names, None]:
+            ranks[name] = before + 1
+            before += sum(r[1] == name for r in rows)
+        assert {r.k: r["rank"] for r in ranking.ranked(df, "name", down).collect()} == {k: ranks[n] for _, n, k in rows}
+    assert ranking.numbered(df.limit(0), [], ["k"]).count() == 0 and ranking.ranked(df.limit(0), "k").count() == 0
+
+
+def test_ids_follow_one_common_beginning(spark):
+    """No window sees all names, however alike they begin."""
+    names = [f"Republic of {k:04d}" for k in range(500)]
+    silver = spark.createDataFrame([(n,) for n in names[::-1]] + [(None,)], "country string")
+    assert [(r.country, r.country_id) for r in gold.dim_country(silver).orderBy("country_id").collect()] == [
+        *((n, k) for k, n in enumerate(names, 1)), (None, 501)]
+
+
 def test_latency_of_no_complete_run_is_empty(spark):
     df = spark.createDataFrame([("2024-01-01T00:00:00+00:00", STAGES[0], 1.0)], "metric_timestamp string, metric_name string, metric_value double")
     assert monitor.processing_latency({"audit_metrics": df}).count() == 0

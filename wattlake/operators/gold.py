@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions.hashing import owner_mask, owner_prefix_mask
 from wattlake.functions.numbers import ratio, total
 from wattlake.operators.conform import is_renewable
+from wattlake.operators.ranking import numbered
 
 PLANT_COLUMNS = (
     "plant_id", "plant_name", "country", "capacity_mw", "primary_fuel",
@@ -30,18 +31,9 @@ def dim_plant(silver: DataFrame) -> DataFrame:
 
 
 def _numbered(values: DataFrame, column: str, id_column: str) -> DataFrame:
-    """Ids 1..n in value order, nulls last.
-
-    Names may be free text, so they are numbered within their first two letters, in parallel; a window over one row per
-    beginning says where each group starts.
-    """
-    start = F.substring(column, 1, 2)
-    before = Window.orderBy(F.col("_start").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = values.groupBy(start.alias("_start")).agg(F.count("*").alias("_n"))
-    offsets = sizes.select("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = F.row_number().over(Window.partitionBy(start).orderBy(F.col(column).asc_nulls_last()))
-    placed = values.withColumn("_within", within).join(offsets, start.eqNullSafe(F.col("_start")))
-    return placed.select(*values.columns, (F.col("_offset") + F.col("_within")).cast("int").alias(id_column))
+    """Ids 1..n in value order, nulls last, however many names there are and however alike they begin."""
+    placed = numbered(values, (), [F.col(column).asc_nulls_last()], "_position")
+    return placed.select(*values.columns, (F.col("_position") + 1).cast("int").alias(id_column))
 
 
 def dim_country(silver: DataFrame) -> DataFrame:

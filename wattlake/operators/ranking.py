@@ -17,21 +17,27 @@ from wattlake.session import new_folder
 _PLACE = 33  # bits of monotonically_increasing_id below the number of the partition
 
 
+def ranges(df: DataFrame, order: Sequence[Column | str], pieces: int | None = None) -> DataFrame:
+    """``df`` in ``order``, cut into pieces of about equal size: ``_part`` is a row's piece, ``_row`` grows within it.
+
+    Rows that ``order`` does not tell apart lie in one piece. The pieces are a table, so they are the same to all readers.
+    """
+    path = new_folder(df.sparkSession, "ranges")
+    dealt = (df.repartitionByRange(pieces, *order) if pieces else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+    dealt.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path)
+    return placed.select(
+        *df.columns, F.shiftright("_at", _PLACE).alias("_part"), F.col("_at").bitwiseAND((1 << _PLACE) - 1).alias("_row"))
+
+
 def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], out: str = "position") -> DataFrame:
     """``df`` with each row's position (from 0) among the rows with its values of ``by``, in ``order``.
 
     Rows that ``order`` does not tell apart lie in one partition; where there may be many of them, end it with a column
-    that tells them apart. Nulls in ``by`` are a value like others. ``df`` is read once or twice: a table, or cheap.
+    that tells them apart. Nulls in ``by`` are a value like others.
     """
-    spark = df.sparkSession
-    groups = [F.col(c).asc_nulls_first() for c in by]
-    keys = [*groups, *order]
-    path = new_folder(spark, "numbered")
-    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    dealt.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
-    placed = spark.read.parquet(path)
-    names = placed.columns[:-1]
-    placed = placed.select(*names, F.shiftright("_at", _PLACE).alias("_part"), F.col("_at").bitwiseAND((1 << _PLACE) - 1).alias("_row"))
+    names = df.columns
+    placed = ranges(df, [*(F.col(c).asc_nulls_first() for c in by), *order])
     spans = placed.groupBy("_part", *by).agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.select(

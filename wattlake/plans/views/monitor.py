@@ -12,6 +12,7 @@ from wattlake.constants import STAGE_METRICS
 from wattlake.functions.numbers import to_double, to_long
 from wattlake.functions.text import lacks_text
 from wattlake.functions.times import parse_iso, whole_units_between
+from wattlake.operators.ranking import ranges
 from wattlake.plans.views.common import Tables, theoretical_gwh, utilisation
 
 NULL_COUNTS = ("null_plant_name", "null_country", "null_primary_fuel", "null_capacity_mw")
@@ -123,46 +124,42 @@ def _stage_log(metrics: DataFrame) -> DataFrame:
     )
 
 
-def _next_of_each_stage(log: DataFrame) -> DataFrame:
+def _next_of_each_stage(log: DataFrame, pieces: int | None = None) -> DataFrame:
     """For every log row the next time of each later stage, at or after it (strictly after for bronze).
 
-    A running minimum over the whole log would be one task. The log is cut into
-    the hours of the calendar; each hour runs its own window, and what follows an
-    hour comes from a window over one row per hour that has rows. Rows are
-    distinct in (ts, stage).
+    A running minimum over the whole log would be one task, and one over an hour of it would be one task where all rows
+    are of one hour. The log is cut into pieces of equal size in the order of time; each piece runs its own window, and
+    what follows a piece comes from a window over one row per piece. Rows are distinct in (ts, stage).
     """
-    log = log.withColumn("_slice", F.date_trunc("hour", "ts"))
-
-    def of(stage: str) -> Column:
-        return F.when(F.col("stage") == stage, F.col("ts"))
-
-    first_in_slice = log.groupBy("_slice").agg(*[F.min(of(s)).alias(f"_first_{s}") for s in STAGE_METRICS])
-    slices_after = Window.orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = first_in_slice.select(
-        "_slice", *[F.min(f"_first_{s}").over(slices_after).alias(f"_carry_{s}") for s in STAGE_METRICS]
-    )
     # Latest time first and, at one time, the last stage first: what precedes a row
     # is all that may follow it in a run. One order serves all four minima.
     stages = list(STAGE_METRICS)
     depth = F.array_position(F.array(*map(F.lit, stages)), F.col("stage"))
-    order = Window.partitionBy("_slice").orderBy(F.col("ts").desc(), depth.desc())
+    log = ranges(log, [F.col("ts").desc(), depth.desc()], pieces)
+
+    def of(stage: str) -> Column:
+        return F.when(F.col("stage") == stage, F.col("ts"))
+
+    first_in_piece = log.groupBy("_part").agg(*[F.min(of(s)).alias(f"_first_{s}") for s in stages])
+    pieces_before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = first_in_piece.select("_part", *[F.min(f"_first_{s}").over(pieces_before).alias(f"_carry_{s}") for s in stages])
+    order = Window.partitionBy("_part").orderBy("_row")
     here = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    joined = log.join(carried, "_slice")
     nexts = [
         F.coalesce(F.min(of(s)).over(before if s == "bronze" else here), F.col(f"_carry_{s}")).alias(f"next_{s}")
         for s in stages
     ]
-    return joined.select("ts", "stage", *nexts)
+    return log.join(carried, "_part").select("ts", "stage", *nexts)
 
 
-def pipeline_runs(metrics: DataFrame) -> DataFrame:
+def pipeline_runs(metrics: DataFrame, pieces: int | None = None) -> DataFrame:
     """One row per bronze time: the first silver, gold and chart times that follow before the next run.
 
     A stage time lies between one bronze time and the next, so each belongs to
     one run and the two look-ups by time meet one row on either side.
     """
-    log = _next_of_each_stage(_stage_log(metrics))
+    log = _next_of_each_stage(_stage_log(metrics), pieces)
 
     def within_run(time: str) -> Column:
         inside = F.col("next_bronze_ts").isNull() | (F.col(time) < F.col("next_bronze_ts"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.numbers import ratio, total, whole_year_text
+from wattlake.operators.ranking import ranked
 from wattlake.plans.views.common import (
     Tables,
     known,
@@ -50,19 +51,19 @@ def global_fuel_dominance(t: Tables, as_of: Column | None = None) -> DataFrame:
     """Share of every fuel.
 
     The grand total is a scalar subquery over the per-fuel rows: no join, and both
-    read the same shuffle. The rank is over one row per fuel.
+    read the same shuffle. The rank is over one row per fuel, by ranges of the totals.
     """
     rows = t["fact_power_generation"].filter(
         texts("primary_fuel") & known("primary_fuel") & values("total_generation_gwh")
     )
     by_fuel = rows.groupBy("primary_fuel").agg(total(F.col("total_generation_gwh")).alias("total_generation_gwh"))
     everything = by_fuel.select(total(F.col("total_generation_gwh"))).scalar()
-    return by_fuel.select(
+    shares = by_fuel.select(
         "primary_fuel",
         "total_generation_gwh",
         ratio(F.col("total_generation_gwh"), everything).alias("fuel_share_ratio"),
-        F.rank().over(Window.orderBy(F.col("total_generation_gwh").desc())).alias("fuel_rank"),
     )
+    return ranked(shares, "total_generation_gwh", out="fuel_rank")
 
 
 def annual_generation_trends(t: Tables, as_of: Column | None = None) -> DataFrame:
