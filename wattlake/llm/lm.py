@@ -166,30 +166,34 @@ def _answered(asked: DataFrame) -> DataFrame:
 
 def _scores(table: pa.Table, counts: pa.Table, order: int) -> Iterator[tuple]:
     known = _Hashes()
-    held = [k for _, text in rows(table.to_batches(), "doc_id", "text") for k in keys_of(text, order, known)]
-    keys, _ = _with_words(np.unique(np.concatenate(held)) if held else np.zeros(0, np.uint64), np.zeros(0, np.int64), 0)
+    ids, held = [], []
+    for doc_id, text in rows(table.to_batches(), "doc_id", "text"):
+        ids.append(doc_id)
+        held += keys_of(text, order, known)
+    ends = np.cumsum([len(k) for k in held])
+    distinct, place = np.unique(np.concatenate(held), return_inverse=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    del held
     answers = sorted(zip(counts["bucket"].to_pylist(), counts["n"].to_pylist(), counts["totals"].to_pylist(), strict=True))
     totals = np.concatenate([
         np.frombuffer(pa.decompress(t, decompressed_size=8 * n, codec="zstd", asbytes=True), np.int64) for _, n, t in answers]).astype(np.float64)
-    if len(totals) != len(keys):
+    _with_words(distinct, distinct, 0)
+    if len(totals) != len(distinct) + 1:
         raise ValueError("a shard's n-grams changed between two scans")
-
-    def total_of(wanted: np.ndarray) -> np.ndarray:
-        return totals[np.searchsorted(keys, wanted)]
-
-    corpus = totals[0]
-    for doc_id, text in rows(table.to_batches(), "doc_id", "text"):
-        grams = [total_of(k) for k in keys_of(text, order, known)]
-        words = len(grams[0])
+    corpus, totals = totals[0], totals[1:]
+    # the corpus counts of all n-grams, document by document, the shorter ones first
+    grams = np.split(totals[place], ends[:-1])
+    for k, doc_id in enumerate(ids):
+        own = grams[k * order:(k + 1) * order]
+        words = len(own[0])
         if not words:
             yield doc_id, 0, None
             continue
         # from the lowest order up: a longer n-gram that is known replaces the score of the shorter one
-        log_score = np.log(grams[0] / corpus)
+        log_score = np.log(own[0] / corpus)
         for n in range(2, order + 1):
             if words < n:
                 break
-            seen, context = grams[n - 1], grams[n - 2][:words - n + 1]
+            seen, context = own[n - 1], own[n - 2][:words - n + 1]
             longer = np.where(seen >= MIN_COUNT, np.log(seen / context), np.log(BACKOFF) + log_score[n - 1:])
             log_score = np.concatenate((log_score[:n - 1], longer))
         yield doc_id, words, round(float(log_score.mean()), DIGITS)
