@@ -11,7 +11,7 @@ from wattlake.functions.numbers import to_double
 from wattlake.functions.times import at, iso_text, parse_iso
 from wattlake.operators.quality import row_counts
 from wattlake.session import new_folder
-from wattlake.sources import bindings, readers, registry, sinks
+from wattlake.sources import bindings, rejects, readers, registry, sinks
 
 CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -282,3 +282,18 @@ def views(spark, sf_dir):
     t = shared.tables(spark, sf_dir)
     readers.register_views({"view_dim_plant": t["dim_plant"]})
     return spark.sql("SELECT country, count(*) AS plants FROM view_dim_plant GROUP BY country")
+
+
+@query("src_12_rejects", """
+    SELECT o_orderkey, o_totalprice, NULL::VARCHAR AS reason, NULL::VARCHAR AS record FROM orders WHERE o_orderkey % 10 <> 0
+    UNION ALL SELECT NULL, NULL, 'malformed record', '{"o_orderkey":' || o_orderkey || ',"o_totalprice":oops' FROM orders
+    WHERE o_orderkey % 10 = 0""")
+def kept_rejects(spark, sf_dir):
+    """Orders as lines of JSON, every tenth broken: the rows, and the broken lines with the reason."""
+    folder = new_folder(spark, "src-12")
+    orders = bindings.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    broken = F.concat(F.lit('{"o_orderkey":'), F.col("o_orderkey").cast("string"), F.lit(',"o_totalprice":oops'))
+    line = F.when(F.col("o_orderkey") % 10 == 0, broken).otherwise(F.to_json(F.struct("o_orderkey", "o_totalprice")))
+    orders.select(line.alias("value")).write.text(folder)
+    rows, bad = rejects.read_with_rejects(spark, folder, orders.schema, "json")
+    return rows.unionByName(bad.drop("path"), allowMissingColumns=True)
