@@ -53,19 +53,19 @@ def numbered(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], ou
 def ranked(df: DataFrame, value: str, descending: bool = True, out: str = "rank") -> DataFrame:
     """``df`` with the rank of each row's ``value``: one more than the rows before it, equal values alike, nulls last.
 
-    Rows of one value become one row before they are numbered, so ties are in no partition twice.
+    Rows of one value become one row before they are put in order, so ties meet in no task; the rows before a piece come
+    from a window over one row per piece. ``df`` is written first, so its plan runs once.
     """
-    order = F.col("_value").desc_nulls_last() if descending else F.col("_value").asc_nulls_last()
-    values = df.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
-    placed = numbered(values, (), [order], "_position")
-    # rows before a value: counts of the values before it, added up over stretches of values
-    stretch = F.floor(F.col("_position") / F.lit(4096))
-    within = Window.partitionBy("_stretch").orderBy("_position").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("_stretch", stretch)
-    sums = placed.groupBy(F.col("_stretch").alias("_of")).agg(F.sum("_n").alias("_sum"))
-    sums = sums.select("_of", F.coalesce(F.sum("_sum").over(whole), F.lit(0)).alias("_offset"))
-    own = placed.select("_value", "_stretch", F.coalesce(F.sum("_n").over(within), F.lit(0)).alias("_within"))
-    ranks = own.join(sums, F.col("_stretch") == F.col("_of")).select(
+    path = new_folder(df.sparkSession, "ranked")
+    df.write.parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    values = rows.groupBy(F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    placed = ranges(values, [F.col("_value").desc_nulls_last() if descending else F.col("_value").asc_nulls_last()])
+    within = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    sums = placed.groupBy(F.col("_part").alias("_of")).agg(F.sum("_n").alias("_sum"))
+    sums = sums.select("_of", F.coalesce(F.sum("_sum").over(pieces), F.lit(0)).alias("_offset"))
+    own = placed.select("_value", "_part", F.coalesce(F.sum("_n").over(within), F.lit(0)).alias("_within"))
+    ranks = own.join(sums, F.col("_part") == F.col("_of")).select(
         "_value", (F.col("_offset") + F.col("_within") + 1).cast("int").alias(out))
-    return df.join(ranks, df[value].eqNullSafe(ranks["_value"])).select(*df.columns, out)
+    return rows.join(ranks, rows[value].eqNullSafe(ranks["_value"])).select(*df.columns, out)
