@@ -8,7 +8,11 @@ from wattlake.catalog import tables as shared
 from wattlake.catalog.registry import query
 from wattlake.catalog.sql import RUN, mean, ratio, total, with_ctes
 from wattlake.operators import gold
+from wattlake.operators.upsert import upsert
+from wattlake.plans.incremental import GoldSums
+from wattlake.session import new_folder
 from wattlake.sources import bindings
+from wattlake.sources.sinks import KeyedTable
 
 
 def _layer(table: str, name: str) -> None:
@@ -26,6 +30,35 @@ _layer("fact_power_generation_time", "gld_07_fact_power_generation_time")
 _layer("fact_capacity_geo", "gld_08_fact_capacity_geo")
 
 
+def _changing_silver(spark, sf_dir) -> GoldSums:
+    """Silver in four changes: half of the plants with other values, the rest, the right values, and a plant that goes."""
+    silver = shared.tables(spark, sf_dir)["stg_power_plants"]
+    folder = new_folder(spark, "gold-sums")
+    silver.write.parquet(f"{folder}/plants")
+    silver = spark.read.parquet(f"{folder}/plants")
+    table = KeyedTable(spark, f"{folder}/silver", "plant_id", 16)
+    sums = GoldSums(spark, table, f"{folder}/sums", 4)
+    half = F.pmod(F.xxhash64("plant_id"), F.lit(2)) == 0
+    wrong = silver.filter(half).withColumns({"country": F.lit("Nowhere"), "capacity_mw": F.col("capacity_mw") * 3})
+    extra = silver.limit(1).withColumns({"plant_id": F.lit("to go"), "country": F.lit("Gone")})
+    for batch in (wrong, silver.filter(~half).unionByName(extra), silver.filter(half)):
+        table.change_keys(batch, lambda now, batch=batch: upsert(None if now is None else now.join(batch, "plant_id", "left_anti"), batch))
+        sums.refresh()
+    table.change_keys(extra, lambda now: now.filter("plant_id <> 'to go'"))
+    return sums
+
+
+@query("gld_05_incremental_capacity", with_ctes("SELECT * FROM fact_plant_capacity", "fact_plant_capacity"))
+def incremental_capacity(spark, sf_dir):
+    """From the sums of silver buckets after four changes, of which each is taken in alone."""
+    return gold.fact_plant_capacity(_changing_silver(spark, sf_dir).refresh())
+
+
+@query("gld_06_incremental_generation", with_ctes("SELECT * FROM fact_power_generation", "fact_power_generation"))
+def incremental_generation(spark, sf_dir):
+    return gold.fact_power_generation(_changing_silver(spark, sf_dir).refresh())
+
+
 @query("gld_04_dim_time", """
     SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
            strftime(d, '%Y-%m-%d') AS date FROM (SELECT max(o_orderdate) AS d FROM orders)""")

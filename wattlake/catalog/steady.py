@@ -32,7 +32,9 @@ SUMS: dict[str, tuple[str, ...]] = {
     "vx_03_generation_density_no_fanout": ("total_capacity_mw", "total_generation_gwh", "generation_per_plant_gwh"),
     "vx_05_country_infrastructure_density": ("total_capacity_mw", "plants_per_1000_mw"),
     "gld_05_fact_plant_capacity": ("total_capacity_mw", "renewable_capacity_mw"),
+    "gld_05_incremental_capacity": ("total_capacity_mw", "renewable_capacity_mw"),
     "gld_06_fact_power_generation": ("total_generation_gwh",),
+    "gld_06_incremental_generation": ("total_generation_gwh",),
     "gld_07_fact_power_generation_time": ("total_generation_gwh",),
     "gld_08_fact_capacity_geo": ("total_capacity_mw",),
     "gld_10_kpi_report": ("total_generation_capacity_mw", "renewable_energy_ratio", "average_plant_capacity_mw"),

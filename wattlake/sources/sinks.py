@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -207,6 +207,24 @@ class KeyedTable(VersionedTable):
             return None
         return self._read(StructType.fromJson(self._about(entry)["schema"]), self._manifest(entry.folder))
 
+    def places(self) -> dict[int, str]:
+        """The write that holds each bucket of the current version."""
+        entry = self._entry(self.current_version())
+        return {} if entry is None else self._manifest(entry.folder)
+
+    def rows_in(self, buckets: Iterable[int]) -> DataFrame:
+        """Rows of some buckets of the current version; the files of others are not opened."""
+        entry, chosen = self._entry(self.current_version()), set(buckets)
+        if entry is None:
+            raise FileNotFoundError(f"no version of {self.path} yet")
+        places = {b: f for b, f in self._manifest(entry.folder).items() if b in chosen}
+        return self._read(StructType.fromJson(self._about(entry)["schema"]), places)
+
+    def bucket_of_rows(self) -> Column:
+        """The bucket of a row, from its key."""
+        entry = self._entry(self.current_version())
+        return self._bucket(self._about(entry)["buckets"] if entry else self.buckets)
+
     def remark(self) -> str | None:
         """What the last change said of itself."""
         entry = self._entry(self.current_version())
