@@ -52,8 +52,25 @@ def test_late_rows_are_kept_and_flagged(spark, root):
     assert got == {"a": (0, False), "b": (1, True), "c": (1, False)}
 
 
-def test_rules_about_missing_values_need_a_table(spark, root):
-    spark.range(0).write.parquet(root)
-    stream = jobs.file_stream(spark, root, "metric_timestamp timestamp, metric_name string, metric_value double")
-    with pytest.raises(ValueError):
-        jobs.alert_stream(stream, alerts.RULES["no_ingest"], root, root)
+def test_windows_without_rows_on_a_stream_and_on_a_table(spark, root):
+    """The log stops for hours, goes on in another run, and other metrics go on where this one is silent."""
+    schema = "metric_timestamp timestamp, metric_name string, metric_value double"
+    start = dt.datetime(2024, 1, 1)
+    log = [(0, "bronze_rows_ingested", 5.0), (1.5, "other", 1.0), (2.2, "bronze_rows_ingested", 0.0), (3, "bronze_rows_ingested", 2.0),
+           (9, "other", 1.0), (9.5, "bronze_rows_ingested", 4.0), (10, "other", 1.0), (30, "other", 1.0), (33, "bronze_rows_ingested", 1.0), (40, "other", 1.0)]
+    rule = alerts.RULES["no_ingest"]
+    for part in (log[:5], log[5:8], log[8:]):
+        rows = [(start + dt.timedelta(hours=h), n, v) for h, n, v in part]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/log")
+        jobs.alert_stream(jobs.file_stream(spark, f"{root}/log", schema), rule, f"{root}/alerts", f"{root}/checkpoint")
+    got = sorted(map(tuple, spark.read.parquet(f"{root}/alerts").select("window_start", "window_end", "metric_value").collect()))
+    whole = alerts.breaches(spark.read.schema(schema).parquet(f"{root}/log"), rule)
+    passed = start + dt.timedelta(hours=33)  # the last window with a row before 40 less the lateness
+    want = sorted(map(tuple, whole.filter(F.col("window_start") <= F.lit(passed)).select("window_start", "window_end", "metric_value").collect()))
+    assert got == want and len(got) == len({w for w, *_ in got}) > 25
+
+
+def test_many_windows_are_made_by_many_rows(spark):
+    span = spark.createDataFrame([(dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 20, 3, 2))], "from timestamp, last timestamp")
+    made = sorted(r.window_start for r in alerts.every_window(span, "5 minutes").collect())
+    assert made == [dt.datetime(2024, 1, 1) + dt.timedelta(minutes=5 * k) for k in range((19 * 24 + 3) * 12 + 1)]

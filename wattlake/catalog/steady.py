@@ -57,6 +57,7 @@ SUMS: dict[str, tuple[str, ...]] = {
     "alr_01_dq_failures": ("metric_value",),
     "alr_03_no_ingest": ("metric_value",),
     "str_04_windowed_alerts": ("metric_value",),
+    "str_04_missing_windows": ("metric_value",),
 }
 DIFFERENCES = frozenset({"non_renewable_capacity_mw", "renewable_generation_growth_gwh"})
 

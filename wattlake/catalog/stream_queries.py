@@ -65,6 +65,22 @@ def streaming_upsert(spark, sf_dir):
               - INTERVAL 1 HOUR""", "metrics_log"))
 def windowed_alerts(spark, sf_dir):
     """Windows the watermark of the metric has passed when the log ends; later ones wait for more of it."""
+    return _alerts_of_events(spark, sf_dir, alerts.RULES["dq_failures"])
+
+
+@query("str_04_missing_windows", with_ctes(
+    f"""SELECT 'no_ingest' AS alert, w AS window_start, w + INTERVAL 1 HOUR AS window_end, coalesce(v, 0.0::DOUBLE) AS metric_value
+        FROM (SELECT unnest(generate_series(min(w), max(w) FILTER (w + INTERVAL 1 HOUR <= ends - INTERVAL 1 HOUR), INTERVAL 1 HOUR)) AS w
+              FROM (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, max(ts) OVER () AS ends FROM metrics_log))
+        LEFT JOIN (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, {summed('metric_value')} AS v FROM metrics_log
+                   WHERE metric_name = 'bronze_rows_ingested' GROUP BY 1) USING (w)
+        WHERE coalesce(v, 0) <= 0""", "metrics_log"))
+def missing_windows(spark, sf_dir):
+    """Windows without an ingest, those without any row included, up to the last one of the log that the watermark has passed."""
+    return _alerts_of_events(spark, sf_dir, alerts.RULES["no_ingest"])
+
+
+def _alerts_of_events(spark, sf_dir, rule):
     folder = new_folder(spark, "str-04")
     schema = bindings.table(spark, sf_dir, "events").schema
     # A pattern, because the table may be one file or a folder of files.
@@ -76,7 +92,7 @@ def windowed_alerts(spark, sf_dir):
         lookup(bindings.METRIC_OF_EVENT, F.col("event_type")).alias("metric_name"),
         F.col("value").alias("metric_value"),
     )
-    jobs.alert_stream(metrics, alerts.RULES["dq_failures"], f"{folder}/alerts", f"{folder}/checkpoint")
-    found = spark.read.parquet(f"{folder}/alerts")
+    jobs.alert_stream(metrics, rule, f"{folder}/alerts", f"{folder}/checkpoint")
+    found = spark.read.parquet(f"{folder}/alerts").select("alert", "window_start", "window_end", "metric_value")
     wall = lambda c: F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
     return found.withColumns({c: wall(c) for c in ("window_start", "window_end")})

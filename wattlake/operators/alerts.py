@@ -44,9 +44,10 @@ def _statistic(rule: Rule) -> Column:
     return F.sum(value) if rule.statistic == "sum" else F.max(value)
 
 
-def windowed(metrics: DataFrame, rule: Rule) -> DataFrame:
-    """The rule's statistic for every window that holds the metric."""
-    rows = metrics.filter(F.col("metric_name") == rule.metric)
+def windowed(metrics: DataFrame, rule: Rule, of_any: bool = False) -> DataFrame:
+    """The rule's statistic for every window that holds the metric, or ``of_any`` metric, then null where it lacks the rule's."""
+    mine = F.col("metric_name") == rule.metric
+    rows = metrics.withColumn("metric_value", F.when(mine, F.col("metric_value"))) if of_any else metrics.filter(mine)
     return (
         rows.groupBy(F.window("metric_timestamp", rule.period).alias("_w"))
         .agg(_statistic(rule).alias("metric_value"))
@@ -54,23 +55,40 @@ def windowed(metrics: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
+#: Windows that one row makes.
+TOGETHER = 1000
+
+
+def every_window(spans: DataFrame, period: str) -> DataFrame:
+    """Every window that begins from ``from`` to ``last``, in steps of many windows that tasks share."""
+    step, stride = F.expr(f"interval {period}"), F.expr(f"interval {period} * {TOGETHER}")
+    strides = spans.filter(F.col("from").isNotNull()).select("last", F.explode(F.sequence(F.col("from"), F.col("last"), stride)).alias("from"))
+    until = F.least(F.col("last"), F.col("from") + F.expr(f"interval {period} * {TOGETHER - 1}"))
+    return strides.repartition("from").select(F.explode(F.sequence(F.col("from"), until, step)).alias("window_start")).withColumn(
+        "window_end", F.col("window_start") + step)
+
+
 def all_windows(metrics: DataFrame, period: str) -> DataFrame:
     """Every window from the first to the last entry of the whole log, empty ones too."""
     span = metrics.agg(F.min("metric_timestamp").alias("first"), F.max("metric_timestamp").alias("last"))
-    starts = span.select(F.window("first", period)["start"].alias("from"), "last")
-    step = F.expr(f"interval {period}")
-    return starts.filter(F.col("from").isNotNull()).select(
-        F.explode(F.sequence(F.col("from"), F.col("last"), step)).alias("window_start")
-    ).withColumn("window_end", F.col("window_start") + step)
+    return every_window(span.select(F.window("first", period)["start"].alias("from"), "last"), period)
 
 
 def breaches(metrics: DataFrame, rule: Rule) -> DataFrame:
     """Windows that break the rule, as (alert, window_start, window_end, metric_value)."""
     seen = windowed(metrics, rule)
     if rule.missing_breaches:
-        spine = all_windows(metrics, rule.period)
-        values = seen.select("window_start", "metric_value")
-        seen = spine.join(values, "window_start", "left").withColumn("metric_value", F.coalesce("metric_value", F.lit(0.0)))
+        seen = filled(all_windows(metrics, rule.period), seen)
+    return broken(seen, rule)
+
+
+def filled(spine: DataFrame, seen: DataFrame) -> DataFrame:
+    """The windows of ``spine`` with what was seen in them, or 0."""
+    values = seen.select("window_start", "metric_value")
+    return spine.join(values, "window_start", "left").withColumn("metric_value", F.coalesce("metric_value", F.lit(0.0)))
+
+
+def broken(seen: DataFrame, rule: Rule) -> DataFrame:
     return seen.filter(_breach(F.col("metric_value"), rule)).select(
         F.lit(rule.name).alias("alert"), "window_start", "window_end", "metric_value"
     )

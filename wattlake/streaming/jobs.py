@@ -81,11 +81,32 @@ def upsert_stream(
 def alert_stream(metrics: DataFrame, rule: alerts.Rule, sink: str, checkpoint: str, lateness: str = "1 hour") -> None:
     """Append the windows that break a rule once the watermark has passed them.
 
-    ``metrics`` has (metric_timestamp, metric_name, metric_value) with a zoned
-    timestamp, which watermarks require.
+    ``metrics`` has (metric_timestamp, metric_name, metric_value) with a zoned timestamp, which watermarks require. For a
+    rule about missing values windows without rows count as well: those before a window of the log that the watermark has
+    passed, which are known to stay empty.
     """
-    if rule.missing_breaches:
-        raise ValueError("a stream cannot see windows without rows; run this rule on the table")
     watched = metrics.withWatermark("metric_timestamp", lateness)
+    if rule.missing_breaches:
+        _with_empty_windows(alerts.windowed(watched, rule, of_any=True), rule, sink, checkpoint)
+        return
     broken = alerts.breaches(watched, rule)
     run_available(broken.writeStream.outputMode("append").format("parquet").option("path", sink), checkpoint)
+
+
+def _with_empty_windows(seen: DataFrame, rule: alerts.Rule, sink: str, checkpoint: str) -> None:
+    """Closed windows come in the order of time from batch to batch. Each batch is continued from the last window of those
+    before it, which is kept beside the sink by batch, so a repeated batch gives the same again."""
+    spark = seen.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        marks = existing(lambda: spark.read.schema("last timestamp").json(f"{sink}/_marks"))
+        before = None if marks is None else marks.filter(F.col("batch_id") < batch_id).agg(F.max("last")).first()[0]
+        first, last = batch.agg(F.min("window_start"), F.max("window_start")).first()
+        if last is None:
+            return
+        start = F.lit(first) if before is None else F.lit(before) + F.expr(f"interval {rule.period}")
+        spine = alerts.every_window(spark.range(1).select(start.alias("from"), F.lit(last).alias("last")), rule.period)
+        alerts.broken(alerts.filled(spine, batch), rule).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        spark.range(1).select(F.lit(last).alias("last")).write.mode("overwrite").json(f"{sink}/_marks/batch_id={batch_id}")
+
+    run_available(seen.writeStream.outputMode("append").foreachBatch(write), checkpoint)
