@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from wattlake.llm.common import batches_of, id_and_text, rows
 
 LABELLED_ROWS = 3000
-#: Bytes of features of those rows, at most.
+#: Bytes of their features, at most, as they are learnt from; they travel packed.
 LABELLED_BYTES = 256 << 20
 BUCKETS = 1 << 17
 DIMENSIONS = 8
@@ -55,8 +55,8 @@ def bag(text: str) -> tuple[Counter, int]:
     return Counter(words), sum(map(str.__eq__, words, words[1:]))
 
 
-def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a document and their weights, which add up to 1."""
+def document_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a document in their order, and how often each occurs."""
     words, again = bag(text)
     counts: Counter = Counter({_END: 1})
     if again:
@@ -64,9 +64,28 @@ def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     for word, n in words.items():
         for f in features(word):
             counts[f] += n
-    ids = np.fromiter(counts.keys(), np.int32, len(counts))
-    weights = np.fromiter(counts.values(), np.float32, len(counts))
-    return ids, weights / weights.sum()
+    ids, found = np.fromiter(counts.keys(), np.int32, len(counts)), np.fromiter(counts.values(), np.int32, len(counts))
+    order = np.argsort(ids)
+    return ids[order], found[order]
+
+
+def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct buckets of a document and their weights, which add up to 1."""
+    return _weighed(*document_counts(text))
+
+
+def _weighed(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return ids, counts.astype(np.float32) / np.float32(counts.sum())
+
+
+def _packed(ids: np.ndarray, counts: np.ndarray) -> bytes:
+    """Gaps and counts are small numbers: about two bytes for a bucket."""
+    return zlib.compress(np.concatenate((np.diff(ids, prepend=np.int32(0)), counts)).tobytes())
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    gaps, counts = np.frombuffer(zlib.decompress(data), np.int32).reshape(2, -1)
+    return np.cumsum(gaps, dtype=np.int32), counts
 
 
 class Model:
@@ -136,7 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", limit: i
     chosen = labels.select(F.col("doc_id").cast("long").alias("labelled"), F.col(label_col).cast("int").alias("label"))
     chosen = chosen.where(F.col("label").isin(0, 1)).orderBy(F.xxhash64("labelled"), "labelled", "label").limit(limit)
     given = id_and_text(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
-    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("digest", pa.binary()), ("ids", pa.binary()), ("weights", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("digest", pa.binary()), ("size", pa.int64()), ("packed", pa.binary())])
 
     def run(batches):
         def made():
@@ -148,19 +167,18 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", limit: i
                 if len(seen) >= 10 * LABELLED_ROWS:
                     seen.clear()
                 seen.add((doc_id, label, digest))
-                ids, weights = document_features(text)
-                yield doc_id, label, digest, ids.tobytes(), weights.tobytes()
+                ids, counts = document_counts(text)
+                yield doc_id, label, digest, 8 * len(ids), _packed(ids, counts)
 
         return batches_of(made(), schema, 64)
 
-    found = given.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, digest binary, ids binary, weights binary")
+    found = given.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, digest binary, size long, packed binary")
     order = [F.xxhash64("doc_id", "digest"), F.col("doc_id"), F.col("label"), F.col("digest")]
     first = found.dropDuplicates(["doc_id", "label", "digest"]).orderBy(*order).limit(limit)
-    so_far = F.sum(F.length("ids") + F.length("weights")).over(Window.orderBy(*order))  # over at most ``limit`` rows
-    taught = first.withColumn("bytes", so_far).where(F.col("bytes") <= LABELLED_BYTES).drop("bytes").collect()
-    taught.sort(key=lambda r: (r.doc_id, r.label, r.ids, r.weights))
-    bags = [(np.frombuffer(r.ids, np.int32), np.frombuffer(r.weights, np.float32)) for r in taught]
-    return train(bags, np.array([r.label for r in taught], np.int64))
+    so_far = F.sum("size").over(Window.orderBy(*order))  # over at most ``limit`` rows
+    taught = first.withColumn("bytes", so_far).where(F.col("bytes") <= LABELLED_BYTES).select("doc_id", "label", "digest", "packed").collect()
+    taught.sort(key=lambda r: (r.doc_id, r.label, r.digest))
+    return train([_weighed(*_unpacked(r.packed)) for r in taught], np.array([r.label for r in taught], np.int64))
 
 
 def accepted(docs: DataFrame, model: Model, threshold: float, text_col: str = "text") -> DataFrame:
