@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -103,18 +104,20 @@ def render_turn(role: str, text: str) -> tuple[str, int, int]:
 
 def render(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text") -> DataFrame:
-    """Every turn rendered: conv_id, turn, role, formatted, text_start and text_end within ``formatted``, in_loss.
+    """Every turn rendered: conv_id, turn, role, formatted, text_start and text_end within ``formatted``, in_loss, and a digest
+    of the source turn.
 
     Partitioned by conversation and sorted, so that the turns of a conversation follow each other in one partition.
     A conversation's formatted text is ``<s>`` and its turns in this order.
     """
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()),
-                        ("formatted", pa.string()), ("text_start", pa.int64()), ("text_end", pa.int64()), ("in_loss", pa.bool_())])
+                        ("formatted", pa.string()), ("text_start", pa.int64()), ("text_end", pa.int64()), ("in_loss", pa.bool_()),
+                        ("source", pa.binary())])
 
     def run(batches):
         def made():
             for conv_id, turn, role, text in rows(batches, "conv_id", "turn", "role", "text"):
-                yield conv_id, turn, role, text, *render_turn(role, text), role == "assistant"
+                yield conv_id, turn, role, text, *render_turn(role, text), role == "assistant", _digest(role, text)
 
         return batches_of(made(), schema, 1024)
 
@@ -123,7 +126,7 @@ def render(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
         text_of(turns[role_col]).alias("role"), text_of(turns[text_col]).alias("text"),
     )
     made = plain.mapInArrow(run, "conv_id long, turn long, role string, text string, formatted string, text_start long, "
-                                 "text_end long, in_loss boolean")
+                                 "text_end long, in_loss boolean, source binary")
     return made.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").drop("text")
 
 
@@ -133,28 +136,88 @@ def read_back(rendered: DataFrame) -> DataFrame:
                         ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
     def run(batches):
-        return batches_of(_conversations(rows(batches, "conv_id", "formatted", "in_loss")), schema)
+        return batches_of(_conversations(rows(batches, *columns)), schema)
 
-    return rendered.select("conv_id", "formatted", "in_loss").mapInArrow(
+    columns = ("conv_id", "formatted", "text_start", "text_end", "in_loss", "source")
+    return rendered.select(*columns).mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
-def _conversations(turns: Iterator[tuple[int | None, str, bool]]) -> Iterator[tuple]:
-    begun, current = False, None
-    for conv_id, formatted, in_loss in turns:
-        if not begun or conv_id != current:
-            if begun:
-                yield current, n, said.hexdigest(), loss_chars, loss.hexdigest(), length
-            begun, current, n, loss_chars, length = True, conv_id, 0, 0, len(OPEN)
-            said, loss = hashlib.sha256(), hashlib.sha256()
-        role, start, end, stop = parse_turn(formatted, 0)
-        if stop != len(formatted):
-            raise GrammarError("text follows the turn")
-        text = unescape(formatted[start:end])
-        said.update(f"{role}\n{text}\n".encode())
+def _digest(role: str, text: str) -> bytes:
+    return hashlib.blake2b(f"{len(role)}:{role}{text}".encode(), digest_size=16).digest()
+
+
+class TurnStream:
+    """The parser over text that comes in pieces, wherever they are cut."""
+
+    def __init__(self):
+        self.held, self.base, self.opened = "", 0, False
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str, int, int]]:
+        """Role and text of each turn that is complete by now, and where its (escaped) text stands in the stream."""
+        self.held += piece
+        at = 0
+        if not self.opened and len(self.held) >= len(OPEN):
+            if not self.held.startswith(OPEN):
+                raise GrammarError(f"expected {OPEN!r} at the beginning")
+            self.opened, at = True, len(OPEN)
+        while self.opened and at < len(self.held):
+            try:
+                role, start, end, stop = parse_turn(self.held, at)
+            except GrammarError:  # not complete, or never will be
+                break
+            yield role, unescape(self.held[start:end]), self.base + start, self.base + end
+            at = stop
+        self.held, self.base = self.held[at:], self.base + at
+
+    def close(self) -> None:
+        if self.held or not self.opened:
+            raise GrammarError(f"no turn at {self.base}")
+
+
+class _Conversation:
+    """One conversation read from its stream."""
+
+    def __init__(self, conv_id: int | None):
+        self.conv_id, self.stream, self.length = conv_id, TurnStream(), 0
+        self.said, self.loss = hashlib.sha256(), hashlib.sha256()
+        self.n, self.loss_chars = 0, 0
+        self.sources, self.masks = deque(), deque()
+        self.take(OPEN)
+
+    def take(self, piece: str) -> None:
+        self.length += len(piece)
+        for role, text, start, end in self.stream.feed(piece):
+            if not self.sources or self.sources.popleft() != _digest(role, text):
+                raise GrammarError(f"the turn before {end} is not that of the source")
+            if role == "assistant" and (not self.masks or self.masks.popleft() != (start, end)):
+                raise GrammarError(f"the loss mask does not cover the text before {end}")
+            self.said.update(f"{role}\n{text}\n".encode())
+            self.n += 1
+
+    def add(self, formatted: str, text_start: int, text_end: int, in_loss: bool, source: bytes) -> None:
+        self.sources.append(source)
         if in_loss:
-            loss.update(text.encode())
-            loss_chars += len(text)
-        n, length = n + 1, length + len(formatted)
-    if begun:
-        yield current, n, said.hexdigest(), loss_chars, loss.hexdigest(), length
+            self.masks.append((self.length + text_start, self.length + text_end))
+            text = unescape(formatted[text_start:text_end])
+            self.loss.update(text.encode())
+            self.loss_chars += len(text)
+        self.take(formatted)
+
+    def result(self) -> tuple:
+        self.stream.close()
+        if self.sources or self.masks:
+            raise GrammarError("turns are missing at the end")
+        return self.conv_id, self.n, self.said.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.length
+
+
+def _conversations(turns: Iterator[tuple]) -> Iterator[tuple]:
+    held = None
+    for conv_id, *turn in turns:
+        if held is None or conv_id != held.conv_id:
+            if held is not None:
+                yield held.result()
+            held = _Conversation(conv_id)
+        held.add(*turn)
+    if held is not None:
+        yield held.result()
