@@ -190,41 +190,48 @@ def search_shard(shard: dict, block: QueryBlock, average_length: float, best: Be
         wanted = np.flatnonzero(open_.any(0))
         if not len(wanted):
             continue
+        # only open blocks are scored: for each query those that its own bound leaves open
         columns = (wanted[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         columns = columns[columns < n]
+        open_at = np.full(n_blocks, -1)
+        open_at[wanted] = np.arange(len(wanted)) * BLOCK
         queries = np.zeros((high - low, len(matrix)))
         thick = dense[term]
         queries[row[thick], dense_place[term[thick]]] = weight[thick]
-        total = np.zeros((high - low, n))
-        total[:, columns] = queries @ matrix[:, columns]
+        total = queries @ matrix[:, columns]
         thin = ~thick
-        total += _added(row[thin], term[thin], weight[thin], first, ends, member, impact, high - low, n)
-        # other blocks hold sums without their dense terms; a document that shares no term is no hit, a score of 0.0000 is one
-        outside = np.ones(n, bool)
-        outside[columns] = False
-        total[:, outside] = 0
+        total += _added(row[thin], term[thin], weight[thin], first, ends, member, impact, high - low, len(columns), open_at)
+        # a document that shares no term is no hit, a score of 0.0000 is one
         hit = total > 0
         total = np.round(total, DIGITS)
-        hit &= total >= threshold[:, None]
+        hit &= (total >= threshold[:, None]) & np.repeat(open_[:, wanted], BLOCK, axis=1)[:, :len(columns)]
         k = best.score.shape[1]
         for q in np.flatnonzero(hit.any(1)):
             good = np.flatnonzero(hit[q])
             if len(good) > 4 * k:
                 kth = np.partition(total[q][good], len(good) - k)[len(good) - k]
                 good = good[total[q][good] >= kth]
-            best.add(low + q, total[q][good], ids[good])
+            best.add(low + q, total[q][good], ids[columns[good]])
     return scored, n_blocks * len(block.ids)
 
 
-def _added(row, term, weight, first, ends, column, value, n_rows, n_columns) -> np.ndarray:
-    """Row by column sums of weight times value, over each term's entries ``first[term]`` to ``ends[term]``."""
+def _added(row, term, weight, first, ends, column, value, n_rows, n_columns, open_at=None) -> np.ndarray:
+    """Row by column sums of weight times value, over each term's entries ``first[term]`` to ``ends[term]``.
+
+    With ``open_at`` entries of closed blocks (-1) are passed over, and columns are counted among the open ones.
+    """
     sizes = ends[term] - first[term]
     stop = np.cumsum(sizes)
     if not len(stop) or not stop[-1]:
         return np.zeros((n_rows, n_columns))
     entry = np.repeat(first[term] - (stop - sizes), sizes) + np.arange(stop[-1])
-    cell = np.repeat(row * n_columns, sizes) + column[entry]
-    return np.bincount(cell, np.repeat(weight, sizes) * value[entry], n_rows * n_columns).reshape(n_rows, n_columns)
+    of = np.repeat(np.arange(len(row)), sizes)
+    where = column[entry]
+    if open_at is not None:
+        start = open_at[where // BLOCK]
+        kept = start >= 0
+        entry, of, where = entry[kept], of[kept], (start + where % BLOCK)[kept]
+    return np.bincount(row[of] * n_columns + where, weight[of] * value[entry], n_rows * n_columns).reshape(n_rows, n_columns)
 
 
 def top_k(index: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
