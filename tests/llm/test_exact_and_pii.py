@@ -30,6 +30,36 @@ def test_exact_edge_cases(spark, edge, edge_rows, nothing):
     assert exact.deduplicate(nothing, exact.DigestIndex.temporary(spark, 4)).count() == 0
 
 
+def test_a_batch_is_added_in_turns_by_anti_join(spark, table, monkeypatch):
+    """The upper ids are in the index before the lower ones, whose copies of them are not appended."""
+    rows = [(k, f"text {k % 7}" if k % 3 else f"own {k}") for k in range(60)] + [(None, "text 1"), (None, "only null"), (59, "own 59")]
+    appended, append = [], exact.DigestIndex.append
+
+    def watched(index, entries):
+        before = index.rows().count()
+        append(index, entries)
+        appended.append((before, entries.count(), index.rows().count() - before))
+
+    monkeypatch.setattr(exact.DigestIndex, "append", watched)
+    for turns in (1, 2, 5):
+        appended.clear()
+        index = exact.DigestIndex.temporary(spark, 4)
+        got = exact.deduplicate(table(rows), index, turns=turns).collect()
+        index.forget()
+        assert not index.exists() and len(appended) == turns
+        assert turns == 1 or (appended[1][0] > 0 and appended[1][2] < appended[1][1])
+        for r in got:
+            ids = [i for i, t in rows if sha(t) == r.text_sha256]
+            assert (r.keep_id, r.group_size) == (max((i for i in ids if i is not None), default=None), len(ids))
+        assert len(got) == len(rows) and sum(r.kept for r in got) == len({t for _, t in rows})
+
+
+def test_survivors_keep_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a", "x", "y"), (2, "a", "p", "q")], "doc_id long, text string, __id string, __digest string")
+    stay = exact.survivors(docs, exact.deduplicate(docs, exact.DigestIndex.temporary(spark, 4)))
+    assert stay.columns == docs.columns and [tuple(r) for r in stay.collect()] == [(2, "a", "p", "q")]
+
+
 def test_index_outlives_a_batch(spark, table):
     index = exact.DigestIndex.temporary(spark, 4)
     first = table([(1, "a"), (2, "a"), (3, "b")])

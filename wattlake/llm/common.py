@@ -33,6 +33,12 @@ def text_of(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A name that no column has."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (f"__{name}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken)
+
+
 def written(df: DataFrame, name: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
     """``df`` as a table in the shared folder: cuts lineage, and a lost executor loses nothing of it."""
     spark = df.sparkSession

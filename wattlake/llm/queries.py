@@ -113,7 +113,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
            doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
     FROM documents WINDOW w AS (PARTITION BY sha256(coalesce(text, '')))""")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact.deduplicate(read(spark, sf_dir, "documents"), exact.DigestIndex.temporary(spark))
+    docs = read(spark, sf_dir, "documents")
+    index = exact.DigestIndex.sized(docs)
+    found = exact.deduplicate(docs, index)
+    index.forget()
+    return found
 
 
 @query("op9_personal_data")
