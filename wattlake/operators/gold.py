@@ -40,9 +40,14 @@ def dim_country(silver: DataFrame) -> DataFrame:
     return _numbered(silver.select("country").distinct(), "country", "country_id")
 
 
+def fuel_flags(silver: DataFrame) -> DataFrame:
+    """The fuels, and whether each is renewable: the dimension without its ids."""
+    return silver.select("primary_fuel").distinct().withColumn("is_renewable", is_renewable(F.col("primary_fuel")))
+
+
 def dim_fuel_type(silver: DataFrame) -> DataFrame:
-    fuels = _numbered(silver.select("primary_fuel").distinct(), "primary_fuel", "fuel_type_id")
-    return fuels.withColumn("is_renewable", is_renewable(F.col("primary_fuel")))
+    fuels = _numbered(fuel_flags(silver), "primary_fuel", "fuel_type_id")
+    return fuels.select("primary_fuel", "fuel_type_id", "is_renewable")
 
 
 def dim_time(spark: SparkSession, run_date: Column) -> DataFrame:

@@ -48,14 +48,20 @@ def quarantine_rows(batch: DataFrame, current: DataFrame | None) -> DataFrame:
     return malformed
 
 
+#: Dimensions that are written when they are built, to be numbered; they are built anew whenever they are asked for.
+NUMBERED = frozenset({"dim_country", "dim_fuel_type"})
+
+
 class Layers(dict):
-    """Tables by name, each built when first asked for."""
+    """Tables by name, each built when first asked for. Kept are plans, never rows."""
 
     def __init__(self, builders: dict[str, Callable[[], DataFrame]], **ready: DataFrame):
         super().__init__(ready)
         self.builders = builders
 
     def __missing__(self, name: str) -> DataFrame:
+        if name in NUMBERED:
+            return self.builders[name]()
         self[name] = self.builders[name]()
         return self[name]
 
@@ -68,6 +74,7 @@ GOLD_TABLES = {
     "dim_plant": gold.dim_plant,
     "dim_country": gold.dim_country,
     "dim_fuel_type": gold.dim_fuel_type,
+    "fuel_flags": gold.fuel_flags,
     "fact_plant_capacity": gold.fact_plant_capacity,
     "fact_power_generation": gold.fact_power_generation,
     "fact_power_generation_time": gold.fact_power_generation_time,

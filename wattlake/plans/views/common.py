@@ -55,4 +55,7 @@ def other_part(measure: str, flag: str = "is_renewable") -> Column:
 
 
 def with_fuel_flag(t: Tables, facts: DataFrame) -> DataFrame:
-    return facts.join(t["dim_fuel_type"].select("primary_fuel", "is_renewable"), "primary_fuel", "left")
+    """Facts with the flag of their fuel. Where tables are built on demand, that needs no numbered dimension."""
+    on_demand = "dim_fuel_type" not in t and "fuel_flags" in getattr(t, "builders", ())
+    flags = t["fuel_flags" if on_demand else "dim_fuel_type"].select("primary_fuel", "is_renewable")
+    return facts.join(flags, "primary_fuel", "left")
