@@ -39,23 +39,83 @@ def test_stage_drops_edited_copies(spark, table, small):
     assert kept == {2 * k for k in range(len(pairs))}
 
 
-@pytest.mark.parametrize("small_group", [8, 1])
-def test_components_against_all_pairs(spark, table, small, small_group):
-    rng = random.Random(small_group)
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").limit(60).collect()]
+def plain_components(rows, least=0.8):
+    """{id: smallest id} of all that hang together with a smaller one, from all pairs."""
+    sets = sorted((i, plain_shingles(t)) for i, t in rows)
+    root = {i: i for i, _ in sets}
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if root[i] != root[j] and a and b and min(len(a), len(b)) >= least * max(len(a), len(b)):
+                shared = len(a & b)
+                if shared / (len(a) + len(b) - shared) >= least:
+                    low, high = sorted((root[i], root[j]))
+                    root = {k: low if v == high else v for k, v in root.items()}
+    return {i: r for i, r in root.items() if i != r}
+
+
+def family(rng, n, edits, words=150):
+    """Copies of one text with some words changed."""
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(words)]
+    for _ in range(n):
+        own = list(base)
+        for at in rng.sample(range(words), rng.choice(edits)):
+            own[at] = f"changed{rng.randrange(10 ** 6)}"
+        yield own
+
+
+@pytest.mark.parametrize("small, counted", [(8, 64), (1, 3)])
+def test_components_against_all_pairs(spark, table, small, counted):
+    rng = random.Random(counted)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60).collect()]
     base = [f"w{k}" for k in range(100)]
     for k in range(50):  # one family, and texts that share half of it
         own = list(base)
         own[rng.randrange(100)] = f"changed{k}"
         rows += [(1000 + k, " ".join(own)), (2000 + k, " ".join(base[:75] + [f"own{k}of{i}" for i in range(40)]))]
-    root = {i: i for i, _ in rows}
-    for i, t in sorted(rows):
-        for j, u in sorted(rows):
-            if j < i and root[i] != root[j] and plain_similarity(t, u) >= 0.8:
-                low, high = sorted((root[i], root[j]))
-                root = {k: low if v == high else v for k, v in root.items()}
-    got = {r.node: r.root for r in near.linked(table(rows), small=small_group).collect()}
-    assert got == {k: v for k, v in root.items() if k != v}
+    got = {r.node: r.root for r in near.linked(table(rows), small=small, counted=counted).collect()}
+    assert got == plain_components(rows)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_large_families_lose_no_link(table, seed):
+    """Documents around a centre, near it and far from it, and each with a further copy that only it is similar to."""
+    rng = random.Random(seed)
+    texts = list(family(rng, 120, [0, 1, 2, 3, 4, 5, 6]))
+    for own in list(family(rng, 60, [2, 3])):
+        further = list(own)
+        for at in rng.sample(range(len(own)), rng.choice([2, 3])):
+            further[at] = f"again{rng.randrange(10 ** 6)}"
+        texts += [own, further]
+    for _ in range(4):  # as long a text before as after: families that overlap
+        texts += [own + more for own, more in zip(family(rng, 20, [0, 1, 2]), family(rng, 20, [0, 1, 3]), strict=True)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    want = plain_components(rows)
+    got = {r.node: r.root for r in near.linked(table(rows), counted=12).collect()}
+    assert got == want
+
+
+def test_shared_passages_are_not_compared_in_all_pairs(table, monkeypatch):
+    """Texts of a common passage and words of their own, none similar: no text is compared with all others."""
+    rows = [(k, " ".join([f"common{i}" for i in range(200)] + [f"own{k}of{i}" for i in range(60)])) for k in range(400)]
+    sets = near._sets(table(rows).select("doc_id", "text"))
+    part = sets.selectExpr("0L AS group", "doc_id", "cast(size(shingles) AS long) AS n", "shingles AS diff", "0L AS mask")
+    counted, count = [], near._counted
+
+    def watch(members, least):
+        counted.append(members.groupBy("group").count().where("count > 1").count())
+        return count(members, least)
+
+    monkeypatch.setattr(near, "_counted", watch)
+    assert near._refined(part, 0.8, 16).count() == 0 and sum(counted) == 0
+
+
+def test_repeated_ids_take_no_clean_row_with_them(table):
+    base = " ".join(f"w{k}" for k in range(60))
+    docs = table([(7, base), (7, "a text of its own under the same id"), (3, base + " more"), (7, base + " again"), (None, base), (9, "other words here")])
+    kept = near.survivors(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == sorted(
+        [(7, "a text of its own under the same id"), (3, base + " more"), (-1, base), (9, "other words here")])
 
 
 def test_stage_keeps_texts_that_only_share_a_fingerprint(spark, table, small):

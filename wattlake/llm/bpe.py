@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 import ahocorasick
 import public_tokenizers
@@ -30,6 +31,8 @@ from wattlake.llm.common import batches_of, byte_names, id_and_text, rows
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CACHED_CHARS = 64
 CACHED_WORDS = 400_000
+#: The first combining mark.
+LATIN = 0x300
 
 
 class _Shapes(dict):
@@ -84,6 +87,12 @@ class PrefixBpe:
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._shapes = _Shapes(pattern)
         self._words = regex.compile(pattern, regex.ASCII)
+        # below the first combining mark characters stand for themselves, so one table lowers and one pattern splits
+        self._lower = {k: self._normalizer.normalize_str(chr(k)) for k in range(LATIN)}
+        plain = sorted({c for low in self._lower.values() for c in low if c > "\x7f"})
+        of = {shape: "".join(re.escape(c) for c in plain if self._shapes[ord(c)] == shape) for shape in "a1"}
+        self._latin_words = re.compile(pattern.replace(r"\p{L}", f"a-zA-Z{of['a']}").replace(r"\p{N}", f"0-9{of['1']}"), re.ASCII)
+        self._latin = re.compile(rf"[\0-\u{LATIN - 1:04x}]*").fullmatch
         self._compatible: dict[tuple[int, int], bool] = {}
         self._word_ids: dict[str, list[int]] = {}
         self._known: dict[str, tuple[int, str, str]] = {}
@@ -154,7 +163,9 @@ class PrefixBpe:
                 ids.append(self.special[part])
                 continue
             if part.isascii():
-                words = self._words.findall(part.lower())
+                words = self._latin_words.findall(part.lower())
+            elif self._latin(part):
+                words = self._latin_words.findall(part.translate(self._lower))
             else:
                 part = self._normalizer.normalize_str(part)
                 words = [part[slice(*m.span())] for m in self._words.finditer(part.translate(self._shapes))]
