@@ -65,7 +65,9 @@ class DigestIndex:
         if self.exists():
             known = self.spark.table(self.name).select("digest").hint("merge")
             new = new.join(known, "digest", "left_anti")
-        writer = new.repartition(self.buckets, "digest").write.bucketBy(self.buckets, "digest").sortBy("digest")
+        # by the number of the bucket, so that each is one file in however many tasks
+        dealt = new.repartition(self.buckets, F.pmod(F.hash("digest"), F.lit(self.buckets)))
+        writer = dealt.write.bucketBy(self.buckets, "digest").sortBy("digest")
         (writer.option("path", self.path) if self.path else writer).mode("append").saveAsTable(self.name)
 
 
