@@ -132,3 +132,33 @@ def test_near_edge_cases(edge, nothing, table):
     found = {r.node: r.root for r in near.linked(table([(5, "a b c d"), (3, "A B  C D"), (4, None), (9, " "), (None, "a b c d")])).collect()}
     assert found == {5: 3}
     assert {r.node for r in near.linked(edge).collect()} == {4, 6, 9}
+
+
+@pytest.mark.parametrize("leading", [None, 12])
+def test_the_tries_of_the_fingerprints_find_every_near_pair(table, leading):
+    """More than the 64 bits and 3 differing ones of the query: at 0.8 nearly all such pairs differ in more."""
+    pairs = list(edited_copies(random.Random(5), 150))
+    texts = [t for pair in pairs for t in pair] + [" ".join(t) for t in family(random.Random(6), 200, [0, 1, 2])]
+    prints = near._prints(table(list(enumerate(texts))).select("doc_id", "text"))
+    found = simhash.roots(simhash.wide_links(prints.withColumnRenamed("doc_id", "id"), leading)).collect()
+    assert {r.node: r.root for r in found} == {2 * k + 1: 2 * k for k in range(150)} | {300 + k: 300 for k in range(1, 200)}
+
+
+def test_leading_bits_and_tries_grow_with_the_table():
+    assert simhash.wide_tries(0) == simhash.wide_tries(1 << 20) == (8, 53)
+    assert simhash.wide_tries(12_000_000) == (12, 101)
+
+
+def test_stage_takes_its_pairs_from_the_tries(spark, table, small, monkeypatch):
+    docs = table([(2 * k + j, t) for k, pair in enumerate(edited_copies(random.Random(4), 3)) for j, t in enumerate(pair)])
+    stage = dict(pipeline.STAGES)["near-dedup"]
+    assert stage(spark, docs, small).count() == 3
+    monkeypatch.setattr(simhash, "wide_links", lambda prints: prints.sparkSession.createDataFrame([], "a long, b long"))
+    assert stage(spark, docs, small).count() == 6
+
+
+def test_few_shingles_and_one_more(table):
+    rng = random.Random(7)
+    texts = [[f"w{rng.randrange(10 ** 6)}" for _ in range(9)] for _ in range(3000)]
+    docs = table([(2 * k + j, " ".join(t[j:])) for k, t in enumerate(texts) for j in range(2)])
+    assert {r.node: r.root for r in near.linked(docs).collect()} == {2 * k + 1: 2 * k for k in range(len(texts))}

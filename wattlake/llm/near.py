@@ -1,13 +1,12 @@
 """Near duplicates by the similarity of shingle sets, as the pipeline drops them.
 
 Two documents are linked when the sets of their five-word shingles have a Jaccard similarity of at least ``SIMILARITY``,
-counted exactly. What is counted comes from bands of minima: a pair at 0.8 shares at least one of the ``BANDS`` keys with
-probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.99993, a more similar pair more surely.
+counted exactly. What is counted comes from the tries over fingerprints in ``simhash``: documents whose wide SimHash
+fingerprints are near each other, directly or through others, form a cluster (``simhash.wide_links`` says how surely).
 
-Documents that share a key form a group. In a group of up to ``SMALL`` all pairs are counted. Larger groups that share
-documents are one cluster, and its links are found without all pairs and without loss (``_refined``): of a cluster's
-documents only the difference from its centre is looked at, the shingles that most of a sample of them have. Where the
-differences of two documents are together small enough, both are linked to the document nearest to the centre, one count a
+In a cluster of up to ``SMALL`` all pairs are counted. The links of a larger one are found without all pairs and without
+loss (``_refined``): of its documents only the difference from its centre is looked at, the shingles that most of a sample
+of them have. Where the differences of two documents are together small enough, both are linked to the document nearest to the centre, one count a
 document. Any other similar pair must have shingles of its differences in common, and so many that one is among the first of
 either; by these the documents are dealt to smaller groups, which are treated alike, each with a centre of its own, until
 at most ``COUNTED`` are left, whose pairs are all counted. What members of a group share falls away with the centre, so
@@ -33,26 +32,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from wattlake.llm import simhash
 from wattlake.llm.common import batches_of, free_name, id_and_text, rows, written
 from wattlake.llm.components import roots
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 24
-#: Minima in a band.
-ROWS = 5
 SEED = 42
-#: Groups by band keys of at most so many are compared in all pairs at once, and groups by shingles of so many.
+#: Fingerprints of so few shingles and of one less are too far apart for the tries; such a set also has those of one less.
+FEW = 5
+#: Clusters of at most so many are compared in all pairs at once, and groups by shingles of so many.
 SMALL = 8
 COUNTED = 256
 #: About so many members of a group say where its centre is.
 SAMPLED = 64
-#: Shingles that are looked at together: under every permutation, or in all sets of a group.
+#: Shingles that are looked at together in all sets of a group.
 STEP = 1024
 
-_DRAWN = np.random.default_rng(SEED).integers(0, 1 << 32, (2, BANDS * ROWS, 1), dtype=np.uint32)
-_TIMES, _PLUS = _DRAWN[0] | np.uint32(1), _DRAWN[1]
-
 
 def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the distinct shingles."""
@@ -68,37 +64,27 @@ def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter(map(xxh64_intdigest, pieces, repeat(SEED)), np.uint64, n))
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """A key for every band, as signed 64-bit numbers; none without shingles."""
-    if not len(hashes):
-        return []
-    low = (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(BANDS * ROWS, (1 << 32) - 1, np.uint32)
-    for at in range(0, len(low), STEP):
-        np.minimum(least, (_TIMES * low[at:at + STEP] + _PLUS).min(1), out=least)
-    keys = [xxh64_intdigest(part.tobytes(), k) for k, part in enumerate(least.reshape(BANDS, ROWS))]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity of two sorted sets."""
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return shared / (len(a) + len(b) - shared) if len(a) and len(b) else 0.0
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
+def _prints(docs: DataFrame) -> DataFrame:
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.binary())])
 
     def run(batches):
         def made():
             for doc_id, text in rows(batches, "doc_id", "text"):
                 hashes = shingles(text)
                 if len(hashes):
-                    yield doc_id, len(hashes), band_keys(hashes)
+                    yield doc_id, simhash.wide_fingerprint(hashes)
+                for k in range(FEW if len(hashes) == FEW else 0):
+                    yield doc_id, simhash.wide_fingerprint(np.delete(hashes, k))
 
         return batches_of(made(), schema)
 
-    return docs.mapInArrow(run, "doc_id long, n long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, fp binary")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -255,19 +241,18 @@ def linked(docs: DataFrame, least: float = SIMILARITY, small: int = SMALL, count
            text_col: str = "text") -> DataFrame:
     """(node, root) of every document that hangs together with a smaller id, ``root`` being the smallest."""
     texts = id_and_text(docs, id_col, text_col).where("doc_id IS NOT NULL")
-    keys = written(_sketches(texts), "sketches").select("doc_id", "n", F.explode("keys").alias("key"))
-    sizes = keys.groupBy("key").agg(F.count("*").alias("size"), F.min("doc_id").alias("first")).where("size > 1")
-    groups = written(keys.join(written(sizes, "group-sizes"), "key"), "groups")
-    sets = written(_sets(texts.join(groups.select("doc_id").distinct(), "doc_id", "left_semi")), "shingle-sets")
-    few = groups.where(F.col("size") <= small)
-    a, b = (few.select("key", F.col("doc_id").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
-    # sets whose sizes differ by more cannot be similar enough
-    pairs = a.join(b, "key").where((F.col("a") < F.col("b")) & (
-        F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(least - 1e-9))).select("a", "b").distinct()
-    links = written(_similar(pairs, sets, least), "similar")
-    many = groups.where(F.col("size") > small)
-    hung = roots(many.select("doc_id", "first"), "doc_id", "first")
-    members = written(hung.unionByName(hung.select(F.col("root").alias("node"), "root").distinct()), "clusters")
+    prints = written(_prints(texts), "fingerprints")
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "classes")
+    same = prints.join(classes, "fp").where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    hung = roots(simhash.wide_links(classes).unionByName(same))
+    clusters = written(hung.unionByName(hung.select(F.col("root").alias("node"), "root").distinct()), "clusters")
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
+    clusters = written(clusters.join(sizes, "root"), "sized-clusters")
+    sets = written(_sets(texts.join(clusters, texts["doc_id"] == clusters["node"], "left_semi")), "shingle-sets")
+    few = clusters.where(F.col("size") <= small)
+    a, b = (few.select("root", F.col("node").alias(x)) for x in "ab")
+    links = written(_similar(a.join(b, "root").where("a < b").select("a", "b"), sets, least), "similar")
+    members = clusters.where(F.col("size") > small)
     part = sets.join(members, sets["doc_id"] == members["node"]).select(
         F.col("root").alias("group"), "doc_id", F.size("shingles").cast("long").alias("n"), F.col("shingles").alias("diff"),
         F.lit(0).cast("long").alias("mask"))
