@@ -12,7 +12,7 @@ Sets of shingles with a Jaccard similarity of 0.8 have fingerprints that differ
 For them ``wide_links`` walks tries over ``WIDE`` bits, each over ``WINDOW`` bits in an order of its own, split after so many
 leading bits that at most about ``GROUP`` fingerprints share them. ``WIDE_DISTANCE`` bits of a window may differ, and
 ``FIRST_DISTANCE`` of its first 64. No single trie has every near pair, so there are as many as give a pair at 0.8 about
-``MET`` tries that agree on the leading bits. Of 80,000 random pairs at 0.8 of 9 or more shingles none was missed, with the
+``MET`` tries that agree on the leading bits. Of 107,500 random pairs at 0.8 of 9 or more shingles none was missed, with the
 tries for 200,000 fingerprints and with those for 12,000,000; of 20,000 pairs of four shingles and the same with a fifth 6 and 39.
 
 - Words are separated by ASCII white space; A-Z is lower-cased. A text of fewer words than a shingle is one shingle; a
