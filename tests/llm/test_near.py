@@ -3,9 +3,10 @@
 import random
 
 import corpus_pipeline as pipeline
+import numpy as np
 import pytest
 
-from wattlake.llm import near, simhash
+from wattlake.llm import components, near, simhash
 
 
 def plain_shingles(text, width=5):
@@ -144,6 +145,39 @@ def test_the_tries_of_the_fingerprints_find_every_near_pair(table, leading):
     assert {r.node: r.root for r in found} == {2 * k + 1: 2 * k for k in range(150)} | {300 + k: 300 for k in range(1, 200)}
 
 
+def test_tries_do_not_each_link_a_family_anew(table, monkeypatch):
+    """Also where no trie has all members in one group: a few links a member, not one from nearly every trie."""
+    n, links, write = 400, [], components.written
+
+    def watch(df, name, *more):
+        made = write(df, name, *more)
+        links.append(made.count() if name == "edges" else 0)
+        return made
+
+    monkeypatch.setattr(components, "written", watch)
+    docs = table([(k, " ".join(t)) for k, t in enumerate(family(random.Random(8), n, [1, 2, 3, 4]))])
+    prints = near._prints(docs.select("doc_id", "text")).withColumnRenamed("doc_id", "id").cache()
+    found = simhash.roots(simhash.wide_links(prints)).collect()
+    assert {r.node: r.root for r in found} == {k: 0 for k in range(1, n)}
+    assert sum(links) <= 6 * n, links
+
+
+@pytest.mark.parametrize("early", [0, 1, 60])
+def test_tries_walked_first_do_not_change_clusters(table, monkeypatch, early):
+    rng = random.Random(9)
+    texts = [t for _ in range(12) for t in family(rng, 10, [0, 1, 3, 6, 9, 12])]
+    prints = near._prints(table([(k % 117, " ".join(t)) for k, t in enumerate(texts)]).select("doc_id", "text"))
+    prints = prints.withColumnRenamed("doc_id", "id").cache()
+    want = {r.node: r.root for r in simhash.roots(simhash.wide_links(prints)).collect()}
+    monkeypatch.setattr(simhash, "EARLY", early)
+    assert {r.node: r.root for r in simhash.roots(simhash.wide_links(prints)).collect()} == want
+
+
+def test_first_position_of_equal_ids_in_a_group():
+    at, ids = np.array([0, 0, 0, 1, 1, 2]), np.array([7, 3, 7, 7, 7, 3])
+    assert simhash._first_of_equal(at, ids).tolist() == [0, 1, 0, 3, 3, 5]
+
+
 def test_leading_bits_and_tries_grow_with_the_table():
     assert simhash.wide_tries(0) == simhash.wide_tries(1 << 20) == (8, 53)
     assert simhash.wide_tries(12_000_000) == (12, 101)

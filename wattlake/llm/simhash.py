@@ -14,6 +14,8 @@ leading bits that at most about ``GROUP`` fingerprints share them. ``WIDE_DISTAN
 ``FIRST_DISTANCE`` of its first 64. No single trie has every near pair, so there are as many as give a pair at 0.8 about
 ``MET`` tries that agree on the leading bits. Of 107,500 random pairs at 0.8 of 9 or more shingles none was missed, with the
 tries for 200,000 fingerprints and with those for 12,000,000; of 20,000 pairs of four shingles and the same with a fifth 6 and 39.
+Each trie would link nearly every member of a family of near copies anew. So the first ``EARLY`` tries are walked before the
+others, which are given what hangs together by then under one id and pass on links between such ids only.
 
 - Words are separated by ASCII white space; A-Z is lower-cased. A text of fewer words than a shingle is one shingle; a
   text without words (null, empty) has fingerprint zero and is linked like any other.
@@ -57,6 +59,8 @@ LEADING = 8
 #: Tries that agree on the leading bits of a pair of sets at a similarity of 0.8, and the share of bits it differs in.
 MET = 14
 DIFFERENT = 0.1515
+#: Tries that are walked first.
+EARLY = 4
 #: As ``DIRECT``, for tries over windows, and rows of windows walked together.
 WIDE_DIRECT = 1 << 14
 WALKED = 1 << 16
@@ -194,13 +198,15 @@ def hang_together(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.
     return label
 
 
-def hang_together_in_groups(first: np.ndarray, second: np.ndarray, starts: np.ndarray, leading: int = LEADING) -> np.ndarray:
+def hang_together_in_groups(first: np.ndarray, second: np.ndarray, starts: np.ndarray, known: np.ndarray,
+                            leading: int = LEADING) -> np.ndarray:
     """The smallest position each hangs together with, inside groups that agree on their ``leading`` bits.
 
-    ``first`` and ``second``: the halves of windows, sorted in each group by the first; ``starts``: where groups begin. What
-    hangs together already is not compared again, so a family of near copies is connected, not enumerated.
+    ``first`` and ``second``: the halves of windows, sorted in each group by the first; ``starts``: where groups begin;
+    ``known``: the smallest position in its group that each is known to hang together with. What hangs together already is
+    not compared again, so a family of near copies is connected, not enumerated.
     """
-    label, ends = np.arange(len(first)), np.append(starts[1:], len(first))
+    label, ends = known.copy(), np.append(starts[1:], len(first))
 
     def compare(a, b, nodes, sizes, own, distance):
         for alo, ahi, blo, bhi, _ in nodes.tolist():
@@ -220,7 +226,8 @@ def hang_together_in_groups(first: np.ndarray, second: np.ndarray, starts: np.nd
                 part[:] = np.where(old[at] == part, new[at], part)
         return ()
 
-    nodes = np.stack([starts, ends, starts, ends, np.zeros_like(starts)], 1)[ends - starts > 1]
+    several = np.maximum.reduceat(known, starts) > starts
+    nodes = np.stack([starts, ends, starts, ends, np.zeros_like(starts)], 1)[several]
     for _ in near_pairs(first, None, FIRST_DISTANCE, leading, nodes, WIDE_DIRECT, compare):
         pass
     return label
@@ -316,12 +323,22 @@ def wide_links(prints: DataFrame, leading: int | None = None) -> DataFrame:
     """(a, b): links that connect the ids of ``prints`` (id, fp) whose wide fingerprints are near each other.
 
     It may link what is further apart than that through what lies between; a check that may not do so is the caller's.
-    ``prints`` is counted and read: a table.
+    ``prints`` is counted and read: a table; ids may repeat. No id is linked to more than one smaller id.
     """
-    routed = pa.schema([("at", pa.int32()), ("first", pa.int64()), ("second", pa.int64()), ("id", pa.int64())])
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     leading, tries = wide_tries(prints.count() if leading is None else GROUP << leading)
     orders = window_orders(leading, tries)
+    early = roots(_walked(prints, orders[:EARLY], leading))
+    joined = prints.join(early, prints["id"] == early["node"], "left").select(F.coalesce("root", "id").alias("id"), "fp")
+    late = roots(_walked(written(joined, "joined-early"), orders[EARLY:], leading))
+    named = early.join(late.select(F.col("node").alias("root"), F.col("root").alias("last")), "root", "left")
+    return named.select(F.col("node").alias("a"), F.coalesce("last", "root").alias("b")).unionByName(
+        late.select(F.col("node").alias("a"), F.col("root").alias("b")))
+
+
+def _walked(prints: DataFrame, orders: list[np.ndarray], leading: int) -> DataFrame:
+    """(a, b): links between the ids that the tries over ``orders`` bring together; rows of one id are together already."""
+    routed = pa.schema([("at", pa.int32()), ("first", pa.int64()), ("second", pa.int64()), ("id", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def windows(batches):
         for batch in batches:
@@ -338,15 +355,28 @@ def wide_links(prints: DataFrame, leading: int | None = None) -> DataFrame:
     def run(batches):
         for at, first, second, ids in _whole_groups(batches, routed.names):
             starts = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
-            label = hang_together_in_groups(first.view(np.uint64), second.view(np.uint64), starts, leading)
-            moved = np.flatnonzero(label != np.arange(len(label)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[label[moved]])], schema=schema)
+            known = _first_of_equal(at, ids)
+            label = hang_together_in_groups(first.view(np.uint64), second.view(np.uint64), starts, known, leading)
+            # all are linked to the smallest id, so that tries agree; an id once
+            least = np.full(len(ids), np.iinfo(np.int64).max)
+            np.minimum.at(least, label, ids)
+            moved = np.flatnonzero((least[label] != ids) & (known == np.arange(len(ids))))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(least[label[moved]])], schema=schema)
 
     rows = prints.select("id", "fp").mapInArrow(windows, "at int, first long, second long, id long")
     # in one group all numbers have one sign, so their order is that of their bits
     return rows.repartition("at").sortWithinPartitions("at", "first").mapInArrow(run, "a long, b long")
 
 
+def _first_of_equal(at: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The first position that has the same group and id as each."""
+    order = np.lexsort((ids, at))
+    begins = np.concatenate(([True], (np.diff(at[order]) != 0) | (np.diff(ids[order]) != 0)))
+    first = np.empty(len(ids), np.int64)
+    first[order] = order[np.flatnonzero(begins)[np.cumsum(begins) - 1]]
+    return first
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[list[np.ndarray]]:
     """Columns of sorted rows, cut between different values of the first, about ``WALKED`` rows at a time."""
     held, n, enough = [], 0, WALKED
