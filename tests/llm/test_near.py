@@ -1,6 +1,7 @@
 """Near duplicates of the pipeline against exact shingle similarity."""
 
 import random
+import time
 
 import corpus_pipeline as pipeline
 import numpy as np
@@ -178,6 +179,35 @@ def test_first_position_of_equal_ids_in_a_group():
     assert simhash._first_of_equal(at, ids).tolist() == [0, 1, 0, 3, 3, 5]
 
 
+def test_a_common_window_alone_links_nothing(table, spark):
+    """Chance has a window agree in ever more pairs as a table grows; the whole fingerprints then differ in half their bits."""
+    rng, order = np.random.default_rng(3), simhash.window_orders(*simhash.wide_tries(0))[7]
+    bits = rng.integers(0, 2, (40, simhash.WIDE), np.uint8)
+    bits[20:, order] = bits[:20, order]
+    prints = spark.createDataFrame([(k, bytearray(np.packbits(b).tobytes())) for k, b in enumerate(bits)], "id long, fp binary")
+    assert simhash.wide_links(prints).count() == 0
+    bits[20:] = bits[:20]
+    bits[20:, order[:5]] ^= 1  # the other windows without these have them together
+    prints = spark.createDataFrame([(k, bytearray(np.packbits(b).tobytes())) for k, b in enumerate(bits)], "id long, fp binary")
+    assert {(r.a, r.b) for r in simhash.wide_links(prints).collect()} == {(20 + k, k) for k in range(20)}
+
+
+def test_steps_leave_no_shuffle_files(table, spark):
+    """A step's shuffles go with the step, so the disk holds those of one at a time."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = (disk.getAllFiles().apply(k).getName() for k in range(disk.getAllFiles().size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    docs, before = table([(k, " ".join(t)) for k, t in enumerate(family(random.Random(1), 40, [1, 2]))]), shuffled()
+    gone = near.linked(docs)
+    for _ in range(50):
+        if left := shuffled() - before:
+            time.sleep(0.2)
+    assert gone.count() == 39 and len(left) <= 20, sorted(left)  # of questions asked without a table
+
+
 def test_leading_bits_and_tries_grow_with_the_table():
     assert simhash.wide_tries(0) == simhash.wide_tries(1 << 20) == (8, 53)
     assert simhash.wide_tries(12_000_000) == (12, 101)

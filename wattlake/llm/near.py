@@ -24,7 +24,7 @@ one that goes as well, but not to the one that stays.
 from __future__ import annotations
 
 from functools import reduce
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -88,26 +88,14 @@ def _prints(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    """Each text as its shingles; other columns, longs, are kept."""
+    others = [c for c in docs.columns if c != "text"]
+    schema = pa.schema([*((c, pa.int64()) for c in others), ("shingles", pa.list_(pa.int64()))])
 
     def run(batches):
-        return batches_of(((d, shingles(t).view(np.int64)) for d, t in rows(batches, "doc_id", "text")), schema, 64)
+        return batches_of(((*own, shingles(t).view(np.int64)) for *own, t in rows(batches, *others, "text")), schema, 64)
 
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose sets have a similarity of ``least`` or more."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column("of_a"), batch.column("of_b")
-            near = [similarity(a[k].values.to_numpy(), b[k].values.to_numpy()) >= least for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(near, pa.bool_()))
-
-    of_a, of_b = (sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab")
-    return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+    return docs.select(*others, "text").mapInArrow(run, f"{', '.join(f'{c} long' for c in others)}, shingles array<long>")
 
 
 def _sorted_groups(batches, *columns: str):
@@ -123,6 +111,23 @@ def _sorted_groups(batches, *columns: str):
         yield current, held
 
 
+def _similar(members: DataFrame, least: float) -> DataFrame:
+    """The pairs of a group whose texts have a similarity of ``least`` or more. Texts move, which pack better than sets."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        def made():
+            for _, held in _sorted_groups(batches, "doc_id", "text"):
+                sets = [(doc_id, shingles(text)) for doc_id, text in sorted(held)]
+                for (x, of_x), (y, of_y) in combinations(sets, 2):
+                    if similarity(of_x, of_y) >= least:
+                        yield x, y
+
+        return batches_of(made(), schema)
+
+    return members.select("group", "doc_id", "text").repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long")
+
+
 def _common(sets: list[np.ndarray]) -> np.ndarray:
     """How many elements any two of some sets share, as a matrix."""
     distinct, place = np.unique(np.concatenate(sets), return_inverse=True)
@@ -248,14 +253,12 @@ def linked(docs: DataFrame, least: float = SIMILARITY, small: int = SMALL, count
     clusters = written(hung.unionByName(hung.select(F.col("root").alias("node"), "root").distinct()), "clusters")
     sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
     clusters = written(clusters.join(sizes, "root"), "sized-clusters")
-    sets = written(_sets(texts.join(clusters, texts["doc_id"] == clusters["node"], "left_semi")), "shingle-sets")
-    few = clusters.where(F.col("size") <= small)
-    a, b = (few.select("root", F.col("node").alias(x)) for x in "ab")
-    links = written(_similar(a.join(b, "root").where("a < b").select("a", "b"), sets, least), "similar")
-    members = clusters.where(F.col("size") > small)
-    part = sets.join(members, sets["doc_id"] == members["node"]).select(
-        F.col("root").alias("group"), "doc_id", F.size("shingles").cast("long").alias("n"), F.col("shingles").alias("diff"),
-        F.lit(0).cast("long").alias("mask"))
+    held = texts.join(clusters, texts["doc_id"] == clusters["node"]).select("doc_id", F.col("root").alias("group"), "size", "text")
+    held = written(held, "clustered-texts")
+    links = written(_similar(held.where(F.col("size") <= small), least), "similar")
+    sets = written(_sets(held.where(F.col("size") > small).drop("size")), "shingle-sets")
+    part = sets.select("group", "doc_id", F.size("shingles").cast("long").alias("n"), F.col("shingles").alias("diff"),
+                       F.lit(0).cast("long").alias("mask"))
     return roots(links.unionByName(_refined(part, least, counted)).distinct())
 
 

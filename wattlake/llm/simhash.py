@@ -11,11 +11,13 @@ A task passes on which fingerprints hang together, not every link, so its output
 Sets of shingles with a Jaccard similarity of 0.8 have fingerprints that differ in about 15 of 100 bits, too many for that.
 For them ``wide_links`` walks tries over ``WIDE`` bits, each over ``WINDOW`` bits in an order of its own, split after so many
 leading bits that at most about ``GROUP`` fingerprints share them. ``WIDE_DISTANCE`` bits of a window may differ, and
-``FIRST_DISTANCE`` of its first 64. No single trie has every near pair, so there are as many as give a pair at 0.8 about
+``FIRST_DISTANCE`` of its first 64, and ``WHOLE_DISTANCE`` of all ``WIDE`` bits: a window alone links ever more sets that have
+little in common as a table grows, until they are one cluster. No single trie has every near pair, so there are as many as give a pair at 0.8 about
 ``MET`` tries that agree on the leading bits. Of 107,500 random pairs at 0.8 of 9 or more shingles none was missed, with the
 tries for 200,000 fingerprints and with those for 12,000,000; of 20,000 pairs of four shingles and the same with a fifth 6 and 39.
 Each trie would link nearly every member of a family of near copies anew. So the first ``EARLY`` tries are walked before the
-others, which are given what hangs together by then under one id and pass on links between such ids only.
+others, which are given what hangs together by then under one id and pass on links between such ids only; these go
+``ROUND`` at a time, so the shuffled rows of few are on disk at once.
 
 - Words are separated by ASCII white space; A-Z is lower-cased. A text of fewer words than a shingle is one shingle; a
   text without words (null, empty) has fingerprint zero and is linked like any other.
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -53,14 +56,18 @@ WIDE = 384
 WINDOW = 128
 FIRST_DISTANCE = 16
 WIDE_DISTANCE = 30
+#: Differing bits of whole fingerprints. Pairs at 0.8 of five or more shingles differ in 16.2 of 100 bits at most, on average;
+#: fewer than one in 10 ** 8 of them differs in more than this.
+WHOLE_DISTANCE = 108
 #: Fingerprints that share the leading bits of a trie, on average and at most; fewer than ``LEADING`` bits are never split.
 GROUP = 4096
 LEADING = 8
 #: Tries that agree on the leading bits of a pair of sets at a similarity of 0.8, and the share of bits it differs in.
 MET = 14
 DIFFERENT = 0.1515
-#: Tries that are walked first.
+#: Tries that are walked first, and tries of the others that are walked at a time.
 EARLY = 4
+ROUND = 16
 #: As ``DIRECT``, for tries over windows, and rows of windows walked together.
 WIDE_DIRECT = 1 << 14
 WALKED = 1 << 16
@@ -198,11 +205,12 @@ def hang_together(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.
     return label
 
 
-def hang_together_in_groups(first: np.ndarray, second: np.ndarray, starts: np.ndarray, known: np.ndarray,
+def hang_together_in_groups(first: np.ndarray, second: np.ndarray, whole: np.ndarray, starts: np.ndarray, known: np.ndarray,
                             leading: int = LEADING) -> np.ndarray:
     """The smallest position each hangs together with, inside groups that agree on their ``leading`` bits.
 
-    ``first`` and ``second``: the halves of windows, sorted in each group by the first; ``starts``: where groups begin;
+    ``first`` and ``second``: the halves of windows, sorted in each group by the first; ``whole``: a fingerprint in each row;
+    ``starts``: where groups begin;
     ``known``: the smallest position in its group that each is known to hang together with. What hangs together already is
     not compared again, so a family of near copies is connected, not enumerated.
     """
@@ -217,6 +225,8 @@ def hang_together_in_groups(first: np.ndarray, second: np.ndarray, starts: np.nd
             at = np.flatnonzero(apart <= distance)
             i, j = np.divmod(at, bhi - blo)
             near = (of_a[i] != of_b[j]) & (apart[at] + np.bitwise_count(second[alo + i] ^ second[blo + j]) <= WIDE_DISTANCE)
+            i, j = i[near], j[near]
+            near = np.bitwise_count(whole[alo + i] ^ whole[blo + j]).sum(1) <= WHOLE_DISTANCE
             if near.any():
                 old, place = np.unique(np.concatenate((of_a[i[near]], of_b[j[near]])), return_inverse=True)
                 new = old[hang_together(len(old), [tuple(place.reshape(2, -1))])]
@@ -329,7 +339,9 @@ def wide_links(prints: DataFrame, leading: int | None = None) -> DataFrame:
     orders = window_orders(leading, tries)
     early = roots(_walked(prints, orders[:EARLY], leading))
     joined = prints.join(early, prints["id"] == early["node"], "left").select(F.coalesce("root", "id").alias("id"), "fp")
-    late = roots(_walked(written(joined, "joined-early"), orders[EARLY:], leading))
+    joined = written(joined, "joined-early")
+    rounds = [orders[k:k + ROUND] for k in range(EARLY, max(tries, EARLY + 1), ROUND)]
+    late = roots(reduce(DataFrame.unionByName, [written(_walked(joined, some, leading), "late-links") for some in rounds]))
     named = early.join(late.select(F.col("node").alias("root"), F.col("root").alias("last")), "root", "left")
     return named.select(F.col("node").alias("a"), F.coalesce("last", "root").alias("b")).unionByName(
         late.select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -337,35 +349,50 @@ def wide_links(prints: DataFrame, leading: int | None = None) -> DataFrame:
 
 def _walked(prints: DataFrame, orders: list[np.ndarray], leading: int) -> DataFrame:
     """(a, b): links between the ids that the tries over ``orders`` bring together; rows of one id are together already."""
-    routed = pa.schema([("at", pa.int32()), ("first", pa.int64()), ("second", pa.int64()), ("id", pa.int64())])
+    words = [f"word_{k}" for k in range(WIDE // BITS)]
+    routed = pa.schema([("at", pa.int32()), *((w, pa.int64()) for w in words), ("id", pa.int64())])
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def windows(batches):
+    def dealt(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            bits = np.unpackbits(bits, axis=1)
+            whole = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.int64).reshape(batch.num_rows, -1)
+            bits = np.unpackbits(whole.view(np.uint8), axis=1)
+            columns = [pa.array(np.ascontiguousarray(c)) for c in whole.T]
             for trie, order in enumerate(orders):
-                own = np.ascontiguousarray(np.packbits(bits[:, order], axis=1)).view(">u8").astype(np.uint64)
-                at = (own[:, 0] >> np.uint64(BITS - leading)).astype(np.int32) | np.int32(trie << leading)
-                halves = [pa.array(np.ascontiguousarray(own[:, k]).view(np.int64)) for k in range(2)]
-                yield pa.RecordBatch.from_arrays([pa.array(at), *halves, batch.column("id")], schema=routed)
+                at = bits[:, order[:leading]] @ (1 << np.arange(leading - 1, -1, -1, np.int32)) | (trie << leading)
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *columns, batch.column("id")], schema=routed)
 
     def run(batches):
-        for at, first, second, ids in _whole_groups(batches, routed.names):
+        for at, *columns, ids in _whole_groups(batches, routed.names):
+            whole = np.stack(columns, 1).view(np.uint64)
+            halves = _windows(whole, at >> leading, orders)
+            order = np.lexsort((halves[:, 0], at))
+            at, whole, halves, ids = at[order], whole[order], halves[order], ids[order]
             starts = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
             known = _first_of_equal(at, ids)
-            label = hang_together_in_groups(first.view(np.uint64), second.view(np.uint64), starts, known, leading)
+            first, second = (np.ascontiguousarray(half) for half in halves.T)
+            label = hang_together_in_groups(first, second, whole, starts, known, leading)
             # all are linked to the smallest id, so that tries agree; an id once
             least = np.full(len(ids), np.iinfo(np.int64).max)
             np.minimum.at(least, label, ids)
             moved = np.flatnonzero((least[label] != ids) & (known == np.arange(len(ids))))
             yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(least[label[moved]])], schema=schema)
 
-    rows = prints.select("id", "fp").mapInArrow(windows, "at int, first long, second long, id long")
-    # in one group all numbers have one sign, so their order is that of their bits
-    return rows.repartition("at").sortWithinPartitions("at", "first").mapInArrow(run, "a long, b long")
+    rows = prints.select("id", "fp").mapInArrow(dealt, f"at int, {', '.join(f'{w} long' for w in words)}, id long")
+    return rows.repartition("at").sortWithinPartitions("at").mapInArrow(run, "a long, b long")
+
+
+def _windows(whole: np.ndarray, tries: np.ndarray, orders: list[np.ndarray]) -> np.ndarray:
+    """The halves of each fingerprint's window in its trie; ``tries`` is sorted."""
+    halves, cuts = np.empty((len(whole), WINDOW // BITS), np.uint64), np.flatnonzero(np.diff(tries)) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, len(whole)], strict=True):
+        for at in range(lo, hi, WALKED):
+            part = slice(at, min(at + WALKED, hi))
+            bits = np.unpackbits(whole[part].view(np.uint8), axis=1)[:, orders[tries[lo]]]
+            halves[part] = np.ascontiguousarray(np.packbits(bits, axis=1)).view(">u8")
+    return halves
 
 
 def _first_of_equal(at: np.ndarray, ids: np.ndarray) -> np.ndarray:
