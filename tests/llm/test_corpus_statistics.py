@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from wattlake.llm import components, lm, quality, search, simhash, substring
@@ -171,6 +172,44 @@ def test_search_against_brute_force(spark, table, small, edge_rows, monkeypatch)
     assert {(r.query_id, r.rank, r.doc_id, r.score) for r in got} == brute_search(rows, queries, 5)
 
 
+def test_blocks_of_queries_are_held_one_at_a_time(spark, table, monkeypatch):
+    """Also the rows of a query's results do not grow with the parts of the index."""
+    monkeypatch.setattr(search, "QUERY_BLOCK", 8)
+    rows, sent, parts, send, write = [(k, f"w{k % 7} w{k} all") for k in range(60)], [], [], SparkContext.broadcast, search.written
+
+    def watch(context, value):
+        assert not any(b._jbroadcast.isValid() for b in sent)
+        sent.append(send(context, value))
+        return sent[-1]
+
+    def counted(df, name):
+        if name == "best":
+            parts.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(SparkContext, "broadcast", watch)
+    monkeypatch.setattr(search, "written", counted)
+    index = search.build_index(table(rows).repartition(40))
+    got = search.top_k(index, table(rows), 4).collect()
+    assert len(sent) > 2 and not any(b._jbroadcast.isValid() for b in sent)
+    assert all(f"Repartition {search.TASKS * spark.sparkContext.defaultParallelism}, false" in plan for plan in parts)
+    assert {(r.query_id, r.rank, r.doc_id, r.score) for r in got} == brute_search(rows, rows, 4)
+
+
+def test_entries_are_added_in_the_same_order_however_few_at_a_time(monkeypatch):
+    rng = np.random.default_rng(1)
+    n, terms = 500, 60
+    first = np.sort(rng.integers(0, 3000, terms))
+    ends = first + rng.integers(0, 90, terms)
+    row, term, weight = np.sort(rng.integers(0, 9, n)), rng.integers(0, terms, n), rng.random(n)
+    column, value, open_at = rng.integers(0, 4 * search.BLOCK, 4000), rng.random(4000), np.array([0, -1, search.BLOCK, -1])
+    for at, columns in ((None, 4 * search.BLOCK), (open_at, 2 * search.BLOCK)):
+        whole = search._added(row, term, weight, first, ends, column, value, 9, columns, at)
+        with monkeypatch.context() as few:
+            few.setattr(search, "ENTRIES", 50)
+            assert (search._added(row, term, weight, first, ends, column, value, 9, columns, at) == whole).all()
+
+
 def test_hits_that_round_to_nothing(table):
     """A word that every one of many documents has weighs next to nothing, and still makes them hits."""
     rows = [(k, "common" + " filler" * (k % 3)) for k in range(30_000)]
