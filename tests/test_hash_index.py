@@ -1,6 +1,7 @@
 """The index of row hashes, and what an ingest reads of a source."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,31 @@ def test_an_ingest_writes_the_changes_only_and_compaction_keeps_what_lives(spark
     assert rows_of(index.unseen(feed(spark, [("k5", 6), ("k5", 99), ("k6", 7)]))) == [("k5", 6)]
 
 
+def test_a_feed_moves_once_and_packed(spark, root, monkeypatch):
+    """Hashes are shuffled as bytes, a first feed once, and what moved does not stay on disk."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles()
+        return {n for n in (files.apply(k).getName() for k in range(files.size())) if n.startswith("shuffle_")}
+
+    index, plans, add = RowHashIndex(spark, root, 4), [], RowHashIndex._add
+    monkeypatch.setattr(RowHashIndex, "_add", lambda self, rows, folder: (
+        plans.append(rows._jdf.queryExecution().executedPlan().toString()), add(self, rows, folder)))
+    first, before = feed(spark, [(f"k{i}", i) for i in range(500)]), shuffled()
+    index.record(keyed(first))
+    index.record(keyed(feed(spark, [(f"k{i}", i + (i < 9)) for i in range(500)])))
+    assert plans[0].count("Exchange hashpartitioning") == 1
+    assert all(p.count("Exchange hashpartitioning(lower(hex(row_hash") == n for p, n in zip(plans, (1, 3), strict=True)), plans
+    for _ in range(50):
+        if left := shuffled() - before:
+            time.sleep(0.2)
+    assert not left
+    parts = [spark.read.parquet(f).selectExpr(f"pmod(hash(row_hash), {index.buckets})").distinct().count()
+             for f in spark.read.parquet(index._folder()).inputFiles()]
+    assert set(parts) == {1} and len(parts) <= 3 * index.buckets
+
+
 def test_against_a_plain_model(spark, root):
     """Feeds of all rows of some keys, in any order, against sets."""
     rng, live, index = random.Random(3), set(), RowHashIndex(spark, root, 4)
